@@ -4,8 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+_TYPES = {
+    "STRING": T.StringType(),
+    "DATE": T.DateType(),
+    "TIMESTAMP": T.TimestampType(),
+    "BOOLEAN": T.BooleanType(),
+    "DOUBLE": T.DoubleType(),
+}
+
+
+def _table(columns: str) -> T.StructType:
+    """A schema from `name TYPE, ...`, without needing a session."""
+    pairs = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
 # Lake column names, order and types. Column order is the Parquet column order.
-INSIDER_FILINGS = T.StructType.fromDDL("""
+INSIDER_FILINGS = _table("""
     accession STRING, formType STRING, filingDate DATE, availableAt TIMESTAMP,
     availabilitySource STRING, periodOfReport DATE, dateOfOriginalSubmission DATE,
     issuerCik STRING, issuerName STRING, issuerTicker STRING, resolvedTicker STRING,
@@ -14,7 +29,7 @@ INSIDER_FILINGS = T.StructType.fromDDL("""
     ownerRelationshipText STRING, aff10b5One BOOLEAN, rawArchiveKey STRING
 """)
 
-INSIDER_TRANSACTIONS = T.StructType.fromDDL("""
+INSIDER_TRANSACTIONS = _table("""
     accession STRING, rowKind STRING, rowSk STRING, formType STRING, issuerCik STRING,
     issuerTicker STRING, resolvedTicker STRING, availableAt TIMESTAMP,
     availabilitySource STRING, securityTitle STRING, transactionDate DATE,
@@ -25,14 +40,14 @@ INSIDER_TRANSACTIONS = T.StructType.fromDDL("""
     underlyingTitle STRING, underlyingShares DOUBLE, rawArchiveKey STRING
 """)
 
-INSTITUTIONAL_FILINGS = T.StructType.fromDDL("""
+INSTITUTIONAL_FILINGS = _table("""
     accession STRING, filingDate DATE, availableAt TIMESTAMP, availabilitySource STRING,
     submissionType STRING, cik STRING, managerName STRING, periodOfReport DATE,
     reportCalendarOrQuarter STRING, isAmendment BOOLEAN, amendmentNo STRING,
     amendmentType STRING, dateReported DATE, rawArchiveKey STRING
 """)
 
-INSTITUTIONAL_HOLDINGS = T.StructType.fromDDL("""
+INSTITUTIONAL_HOLDINGS = _table("""
     accession STRING, infoTableSk STRING, availableAt TIMESTAMP, availabilitySource STRING,
     issuerName STRING, titleOfClass STRING, cusip STRING, figi STRING, value DOUBLE,
     sharesAmount DOUBLE, sharesType STRING, putCall STRING, discretion STRING,

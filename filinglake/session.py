@@ -35,6 +35,7 @@ def local_session(cpus: str | int = "*", memory: str = "8g", name: str = "filing
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions))
     )

@@ -8,13 +8,18 @@ the parallelism is the number of archives. Write the result to the bronze table
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The unzip step travels to the executors by value, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LINES = "archive_key STRING, member STRING, line_no LONG, line STRING"
 # Lines handed to the JVM at a time.
 _CHUNK = 20_000
@@ -39,7 +44,7 @@ def _member_lines(archive: zipfile.ZipFile, name: str) -> Iterator[str]:
         stream = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="\n")
         for number, line in enumerate(stream):
             line = line.removesuffix("\n").removesuffix("\r")
-            yield line.removeprefix("﻿") if number == 0 else line
+            yield line.removeprefix("\ufeff") if number == 0 else line
 
 
 def read_archives(

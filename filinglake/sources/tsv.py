@@ -35,7 +35,7 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return placed.select(
         "archive_key",
         "ord",
-        F.when(c("ord.block") == 0, F.regexp_replace(line, "^﻿", "")).otherwise(line).alias("line"),
+        F.when(c("ord.block") == 0, F.regexp_replace(line, "^\ufeff", "")).otherwise(line).alias("line"),
     )
 
 
