@@ -389,6 +389,20 @@ def _needs(template: str) -> list[str]:
     return list(dict.fromkeys(fields))
 
 
+# Views whose text is parsed again. A real landing has many files; the given tables have one
+# split each, so their rows are first spread over the cores.
+_PARSED = {
+    "raw_sub13f", "raw_cover", "raw_info", "raw_sub345", "raw_owner", "raw_legs", "info_lines",
+    "index_entries", "nport_holding_lines", "nport_identifier_lines", "manifests", "submissions", "exchanges",
+}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows over at least as many partitions as cores; nothing to do on large inputs."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *df.columns[:4])
+
+
 class Tables:
     """The given tables of one folder and the views over them, as DataFrames."""
 
@@ -404,6 +418,8 @@ class Tables:
             if name in VIEWS:
                 template = _template(name, "spark")
                 needs = {needed: getattr(self, needed) for needed in _needs(template)}
+                if name in _PARSED:
+                    needs = {needed: spread(df) for needed, df in needs.items()}
                 self._made[name] = self.spark.sql(template, **needs)
             else:
                 self._made[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")

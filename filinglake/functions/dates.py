@@ -5,31 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from filinglake.functions.text import trimmed
-
 NEW_YORK = "America/New_York"
-# Fixed value: month abbreviations in data set dates.
+# Fixed value: month abbreviations in data set dates; below each, its number.
 _MONTHS = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
+_NUMBER = "01-02-03-04-05-06-07-08-09-10-11-12-"
 _SEC_SHAPE = r"^[0-9]{1,2}-[A-Za-z]{3}-[0-9]{4}$"
 # Fixed value: availability is strictly after acceptance.
 ACCEPTANCE_DELAY = "interval 60 seconds"
 
 
 def sec_date(cell: Column) -> Column:
-    """`31-OCT-2025` as a date; null when blank or not a calendar date."""
-    value = trimmed(cell)
-    at = F.instr(F.lit(_MONTHS), F.upper(F.element_at(F.split(value, "-"), 2)))
-    iso = F.concat_ws(
-        "-",
-        F.substring_index(value, "-", -1),
-        F.lpad(((at + 2) / 3).cast("int").cast("string"), 2, "0"),
-        F.lpad(F.substring_index(value, "-", 1), 2, "0"),
+    """A trimmed `31-OCT-2025` as a date; null when blank or not a calendar date."""
+    full = F.lpad(cell, 11, "0")
+    at = F.instr(F.lit(_MONTHS), F.upper(F.substring(full, 4, 3)))
+    iso = F.concat(
+        F.substring(full, 8, 4), F.lit("-"), F.substring(F.lit(_NUMBER), at, F.lit(3)), F.substring(full, 1, 2)
     )
-    return F.when(value.rlike(_SEC_SHAPE), F.when(at % 3 == 1, iso.try_cast("date")))
+    return F.when(cell.rlike(_SEC_SHAPE) & (at % 3 == 1), iso.try_cast("date"))
 
 
-def sec_date_broken(cell: Column) -> Column:
-    return (trimmed(cell) != "") & sec_date(cell).isNull()
+def sec_date_broken(cell: Column, day: Column) -> Column:
+    return day.isNull() & (cell != "")
 
 
 def xml_date(cell: Column) -> Column:
@@ -39,6 +35,7 @@ def xml_date(cell: Column) -> Column:
 
 
 def xml_date_broken(cell: Column) -> Column:
+    """True where a present cell is no date."""
     return cell.isNotNull() & xml_date(cell).isNull()
 
 

@@ -18,29 +18,37 @@ _RADIX = {16: r"^0[xX][0-9a-fA-F]+$", 8: r"^0[oO][0-7]+$", 2: r"^0[bB][01]+$"}
 
 
 def trimmed(cell: Column) -> Column:
-    """Both ends stripped of every space character, absent cells as empty text."""
-    return F.btrim(F.coalesce(cell, F.lit("")), F.lit(SPACES))
+    """Both ends stripped of every space character, absent cells as empty text.
+
+    Most cells need no more than the plain trim: the general one, which looks each character
+    up, only runs where an end is neither a printable ASCII character nor past it by little.
+    """
+    plain = F.trim(F.coalesce(cell, F.lit("")))
+    usual = F.ascii(plain).between(33, 126) & F.ascii(F.substring(plain, -1, 1)).between(33, 126)
+    return F.when((plain == "") | usual, plain).otherwise(F.btrim(plain, F.lit(SPACES)))
+
+
+def present(cell: Column) -> Column:
+    """A trimmed cell, blank as null."""
+    return F.when(cell != "", cell)
 
 
 def text(cell: Column) -> Column:
     """Trimmed text, blank as null."""
-    return F.nullif(trimmed(cell), F.lit(""))
+    return present(trimmed(cell))
 
 
 def compact(cell: Column) -> Column:
     """Text with all white space removed, upper case, blank as null."""
-    return F.nullif(F.upper(F.translate(F.coalesce(cell, F.lit("")), SPACES, "")), F.lit(""))
-
-
-def _digits(cell: Column, commas: bool) -> Column:
-    stripped = trimmed(cell)
-    return trimmed(F.replace(stripped, F.lit(","), F.lit(""))) if commas else stripped
+    return present(F.upper(F.translate(F.coalesce(cell, F.lit("")), SPACES, "")))
 
 
 def number(cell: Column, commas: bool = False) -> Column:
-    """A finite double, else null. `commas` drops thousands separators first."""
-    digits = _digits(cell, commas)
-    value = F.when(digits.rlike(_DECIMAL), digits.try_cast("double"))
+    """A trimmed cell as a finite double, else null. `commas` drops thousands separators."""
+    digits = F.when(cell.contains(","), trimmed(F.replace(cell, F.lit(","), F.lit("")))).otherwise(cell) if commas else cell
+    value = F.when(digits == "", F.lit(None).cast("double")).when(
+        digits.rlike(_DECIMAL), digits.try_cast("double")
+    )
     for radix, shape in _RADIX.items():
         value = value.when(
             digits.rlike(shape), F.conv(F.substring(digits, 3, 64), radix, 10).try_cast("double")
@@ -48,20 +56,21 @@ def number(cell: Column, commas: bool = False) -> Column:
     return F.when(F.abs(value) != F.lit(float("inf")), value)
 
 
-def number_broken(cell: Column, commas: bool = False) -> Column:
-    """True where a non-blank cell is not a finite number."""
-    return (_digits(cell, commas) != "") & number(cell, commas).isNull()
+def number_broken(cell: Column, value: Column, commas: bool = False) -> Column:
+    """True where a non-blank trimmed cell gave no number."""
+    rest = F.translate(cell, "," + SPACES, "") if commas else cell
+    return value.isNull() & (rest != "")
 
 
 def yes_no(cell: Column) -> Column:
     """Y or N in any case; anything else is unknown."""
-    letter = F.upper(trimmed(cell))
+    letter = F.upper(cell)
     return F.when(letter == "Y", F.lit(True)).when(letter == "N", F.lit(False))
 
 
 def flag(cell: Column) -> Column:
     """1/true, 0/false in any case; anything else is unknown."""
-    word = F.lower(trimmed(cell))
+    word = F.lower(cell)
     return F.when(word.isin("1", "true"), F.lit(True)).when(word.isin("0", "false"), F.lit(False))
 
 

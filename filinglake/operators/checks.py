@@ -37,22 +37,37 @@ class Checked:
         return self.rows
 
 
+# Prefix of the typed columns while rules are judged.
+TYPED = "_typed_"
+
+
+def typed(name: str) -> Column:
+    """A typed column, for use in a rule."""
+    return F.col(f"{TYPED}{name}")
+
+
 def split_broken(
     table: str,
     df: DataFrame,
     rules: Mapping[str, Column],
-    columns: list[Column],
+    columns: Mapping[str, Column],
     sample: Column,
 ) -> Checked:
-    """Apply named rules (true means broken) to `df` and project the good rows to `columns`."""
+    """Type `df` to `columns` and apply named rules (true means broken).
+
+    Rules see the columns of `df` and, by `typed(name)`, the typed ones. The verdict leaves a
+    generator, so that filters on it stay above the typing and every cell is read once.
+    """
     tested = {name: F.coalesce(rule, F.lit(False)) for name, rule in rules.items()}
     any_broken = reduce(lambda a, b: a | b, tested.values(), F.lit(False))
     names = F.filter(
         F.array(*[F.when(rule, F.lit(name)) for name, rule in tested.items()]),
         lambda name: name.isNotNull(),
     )
+    read = df.select("*", *[column.alias(f"{TYPED}{name}") for name, column in columns.items()])
+    judged = read.select("*", F.explode(F.array(any_broken)).alias("_broken"))
     return Checked(
         table,
-        df.filter(~any_broken).select(*columns),
-        df.filter(any_broken).select(names.alias("broken"), sample.cast("string").alias("sample")),
+        judged.filter(~F.col("_broken")).select(*[typed(name).alias(name) for name in columns]),
+        judged.filter("_broken").select(names.alias("broken"), sample.cast("string").alias("sample")),
     )

@@ -312,7 +312,8 @@ def archive_label(key: Column, prefix: str) -> Column:
 def archives_by_label(objects: DataFrame, prefix: str) -> DataFrame:
     """The first listed object per window label."""
     labelled = objects.select(archive_label(F.col("key"), prefix).alias("label"), "key")
-    return labelled.filter(F.col("label").isNotNull()).groupBy("label").agg(F.min("key").alias("key"))
+    named = labelled.filter(F.col("label").isNotNull()).distinct()
+    return named.groupBy("label").agg(F.min("key").alias("key"))
 
 
 def coverage(objects: DataFrame, ledger: DataFrame, dataset: str, prefix: str) -> DataFrame:

@@ -13,21 +13,24 @@ from pyspark.sql import functions as F
 
 from filinglake import schemas
 from filinglake.functions import dates, securities, text
-from filinglake.operators.checks import Checked, split_broken
+from filinglake.operators.checks import Checked, split_broken, typed
 from filinglake.operators.keyed import first_per_key, last_per_key
 
 KEY = ["archive_key", "accession"]
 
 
 def _keyed(member: DataFrame) -> DataFrame:
-    return member.withColumn("accession", text.text(F.col("ACCESSION_NUMBER")))
+    """Cells trimmed once, and the accession they belong to."""
+    cells = [
+        F.col(name) if name in ("archive_key", "ord") else text.trimmed(F.col(name)).alias(name)
+        for name in member.columns
+    ]
+    return member.select(*cells).withColumn("accession", text.present(F.col("ACCESSION_NUMBER")))
 
 
-def _typed(table: str, **columns: Column) -> list[Column]:
+def _typed(table: str, **columns: Column) -> dict[str, Column]:
     """Columns of a lake table, in its order and with its types."""
-    return [
-        columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.TABLES[table]
-    ]
+    return {f.name: columns.get(f.name, F.lit(None)).cast(f.dataType) for f in schemas.TABLES[table]}
 
 
 def cover_left(submission: DataFrame, cover: DataFrame) -> DataFrame:
@@ -49,31 +52,31 @@ def filings_13f(submission: DataFrame, cover: DataFrame) -> Checked:
         filingDate=day,
         availableAt=dates.end_of_day_new_york(day),
         availabilitySource=F.lit(schemas.SOURCE_13F_DATASET),
-        submissionType=text.text(c("SUBMISSIONTYPE")),
-        cik=text.text(c("CIK")),
-        managerName=text.text(c("FILINGMANAGER_NAME")),
+        submissionType=text.present(c("SUBMISSIONTYPE")),
+        cik=text.present(c("CIK")),
+        managerName=text.present(c("FILINGMANAGER_NAME")),
         periodOfReport=dates.sec_date(c("PERIODOFREPORT")),
-        reportCalendarOrQuarter=text.text(c("REPORTCALENDARORQUARTER")),
+        reportCalendarOrQuarter=text.present(c("REPORTCALENDARORQUARTER")),
         isAmendment=text.yes_no(c("ISAMENDMENT")),
-        amendmentNo=text.text(c("AMENDMENTNO")),
-        amendmentType=text.text(c("AMENDMENTTYPE")),
+        amendmentNo=text.present(c("AMENDMENTNO")),
+        amendmentType=text.present(c("AMENDMENTTYPE")),
         dateReported=dates.sec_date(c("DATEREPORTED")),
         rawArchiveKey=c("archive_key"),
     )
     rules = {
         "SUBMISSION ACCESSION_NUMBER": c("accession").isNull(),
-        "SUBMISSION FILING_DATE": day.isNull(),
-        "SUBMISSION SUBMISSIONTYPE": text.text(c("SUBMISSIONTYPE")).isNull(),
-        "SUBMISSION CIK": text.text(c("CIK")).isNull(),
-        "SUBMISSION PERIODOFREPORT": dates.sec_date_broken(c("PERIODOFREPORT")),
-        "COVERPAGE DATEREPORTED": dates.sec_date_broken(c("DATEREPORTED")),
+        "SUBMISSION FILING_DATE": typed("filingDate").isNull(),
+        "SUBMISSION SUBMISSIONTYPE": typed("submissionType").isNull(),
+        "SUBMISSION CIK": typed("cik").isNull(),
+        "SUBMISSION PERIODOFREPORT": dates.sec_date_broken(c("PERIODOFREPORT"), typed("periodOfReport")),
+        "COVERPAGE DATEREPORTED": dates.sec_date_broken(c("DATEREPORTED"), typed("dateReported")),
     }
     good = split_broken("institutional_filings", joined, rules, columns, c("accession"))
     blank_cover = split_broken(
         "institutional_filings",
         _keyed(cover),
         {"COVERPAGE ACCESSION_NUMBER": c("accession").isNull()},
-        [c("accession")],
+        {"accession": c("accession")},
         c("archive_key"),
     )
     return Checked(good.table, good.rows, good.rejects.unionByName(blank_cover.rejects))
@@ -116,15 +119,18 @@ def holdings_13f(info: DataFrame, submission: DataFrame) -> Checked:
         availabilitySource=F.lit(schemas.SOURCE_13F_DATASET),
         cusip=cusip,
         rawArchiveKey=c("archive_key"),
-        **{name: text.text(c(raw)) for name, raw in labels.items()},
+        **{name: text.present(c(raw)) for name, raw in labels.items()},
         **{name: text.number(c(raw), commas=True) for name, raw in amounts.items()},
     )
     rules = {
         "INFOTABLE ACCESSION_NUMBER": c("accession").isNull(),
         "INFOTABLE unknown accession": c("accession").isNotNull() & c("filing_day").isNull(),
-        "INFOTABLE INFOTABLE_SK": text.text(c("INFOTABLE_SK")).isNull(),
-        "INFOTABLE CUSIP": cusip.isNull(),
-        **{f"INFOTABLE {raw}": text.number_broken(c(raw), commas=True) for raw in amounts.values()},
+        "INFOTABLE INFOTABLE_SK": typed("infoTableSk").isNull(),
+        "INFOTABLE CUSIP": typed("cusip").isNull(),
+        **{
+            f"INFOTABLE {raw}": text.number_broken(c(raw), typed(name), commas=True)
+            for name, raw in amounts.items()
+        },
     }
     where = F.concat_ws("/", c("accession"), c("INFOTABLE_SK"))
     return split_broken("institutional_holdings", joined, rules, columns, where)
@@ -133,18 +139,19 @@ def holdings_13f(info: DataFrame, submission: DataFrame) -> Checked:
 def _submission_facts(submission: DataFrame) -> DataFrame:
     """What transactions and owners take from the last submission of their accession."""
     c = F.col
+    period, original = dates.sec_date(c("PERIOD_OF_REPORT")), dates.sec_date(c("DATE_OF_ORIG_SUB"))
     facts = _keyed(submission).select(
         *KEY,
-        text.text(c("DOCUMENT_TYPE")).alias("form_type"),
+        text.present(c("DOCUMENT_TYPE")).alias("form_type"),
         dates.sec_date(c("FILING_DATE")).alias("filing_day"),
-        text.text(c("ISSUERCIK")).alias("issuer_cik"),
-        text.text(c("ISSUERNAME")).alias("issuer_name"),
-        text.text(c("ISSUERTRADINGSYMBOL")).alias("issuer_symbol"),
+        text.present(c("ISSUERCIK")).alias("issuer_cik"),
+        text.present(c("ISSUERNAME")).alias("issuer_name"),
+        text.present(c("ISSUERTRADINGSYMBOL")).alias("issuer_symbol"),
         securities.issuer_ticker(c("ISSUERTRADINGSYMBOL")).alias("resolved_symbol"),
-        dates.sec_date(c("PERIOD_OF_REPORT")).alias("period_day"),
-        dates.sec_date_broken(c("PERIOD_OF_REPORT")).alias("period_broken"),
-        dates.sec_date(c("DATE_OF_ORIG_SUB")).alias("original_day"),
-        dates.sec_date_broken(c("DATE_OF_ORIG_SUB")).alias("original_broken"),
+        period.alias("period_day"),
+        dates.sec_date_broken(c("PERIOD_OF_REPORT"), period).alias("period_broken"),
+        original.alias("original_day"),
+        dates.sec_date_broken(c("DATE_OF_ORIG_SUB"), original).alias("original_broken"),
         text.flag(c("AFF10B5ONE")).alias("aff10b5one"),
         F.lit(True).alias("known"),
         "ord",
@@ -189,21 +196,21 @@ def filings_insider(submission: DataFrame, owners: DataFrame) -> Checked:
         periodOfReport=c("period_day"),
         dateOfOriginalSubmission=c("original_day"),
         issuerName=c("issuer_name"),
-        ownerCik=text.text(c("RPTOWNERCIK")),
-        ownerName=text.text(c("RPTOWNERNAME")),
+        ownerCik=text.present(c("RPTOWNERCIK")),
+        ownerName=text.present(c("RPTOWNERNAME")),
         isDirector=text.listed(relation, "DIRECTOR"),
         isOfficer=text.listed(relation, "OFFICER"),
         isTenPercentOwner=text.listed(relation, "TENPERCENTOWNER"),
         isOther=text.listed(relation, "OTHER"),
-        officerTitle=text.text(c("RPTOWNER_TITLE")),
-        ownerRelationshipText=text.text(c("RPTOWNER_TXT")),
+        officerTitle=text.present(c("RPTOWNER_TITLE")),
+        ownerRelationshipText=text.present(c("RPTOWNER_TXT")),
         aff10b5One=c("aff10b5one"),
     )
     rules = {
         **_fact_rules("REPORTINGOWNER"),
         "SUBMISSION PERIOD_OF_REPORT": c("period_broken"),
         "SUBMISSION DATE_OF_ORIG_SUB": c("original_broken"),
-        "REPORTINGOWNER RPTOWNERCIK": text.text(c("RPTOWNERCIK")).isNull(),
+        "REPORTINGOWNER RPTOWNERCIK": typed("ownerCik").isNull(),
     }
     return split_broken("insider_filings", joined, rules, columns, c("accession"))
 
@@ -241,7 +248,7 @@ def _legs(member: DataFrame, kind: str, sk: str) -> DataFrame:
     return _keyed(member).select(
         *KEY,
         F.lit(kind).alias("row_kind"),
-        text.text(F.col(sk)).alias("row_sk"),
+        text.present(F.col(sk)).alias("row_sk"),
         *[F.col(raw) for raw in shared.values()],
         F.col("EQUITY_SWAP_INVOLVED"),
         *derivative,
@@ -264,15 +271,15 @@ def transactions_insider(submission: DataFrame, nonderiv: DataFrame, deriv: Data
         rowSk=c("row_sk"),
         equitySwapInvolved=text.flag(c("EQUITY_SWAP_INVOLVED")),
         **{name: dates.sec_date(c(raw)) for name, raw in days.items()},
-        **{name: text.text(c(raw)) for name, raw in {**_LEG_TEXT, **_DERIV_TEXT}.items()},
+        **{name: text.present(c(raw)) for name, raw in {**_LEG_TEXT, **_DERIV_TEXT}.items()},
         **{name: text.number(c(raw)) for name, raw in numbers.items()},
     )
     rules = {
         **_fact_rules("transaction"),
         "transaction row key": c("row_sk").isNull(),
-        "transaction SECURITY_TITLE": text.text(c("SECURITY_TITLE")).isNull(),
-        **{f"transaction {raw}": dates.sec_date_broken(c(raw)) for raw in days.values()},
-        **{f"transaction {raw}": text.number_broken(c(raw)) for raw in numbers.values()},
+        "transaction SECURITY_TITLE": typed("securityTitle").isNull(),
+        **{f"transaction {raw}": dates.sec_date_broken(c(raw), typed(name)) for name, raw in days.items()},
+        **{f"transaction {raw}": text.number_broken(c(raw), typed(name)) for name, raw in numbers.items()},
     }
     where = F.concat_ws("/", c("accession"), c("row_kind"), c("row_sk"))
     return split_broken("insider_transactions", joined, rules, columns, where)

@@ -51,63 +51,49 @@ def _day_number(day: Column) -> Column:
     )
 
 
-def _blocks(low: Column, high: Column) -> Column:
-    """The aligned blocks (level, index) that together make up [low, high], at most two a level."""
-    def at(level: int) -> Column:
-        size = 1 << level
-        # A block belongs to the cut when it lies inside and its parent does not.
-        def inside(index: Column, width: int) -> Column:
-            return (index * width >= low) & ((index + 1) * width - 1 <= high)
-
-        first = F.floor((low + (size - 1)) / size).cast("int")
-        last = (F.floor((high + 1) / size) - 1).cast("int")
-        keep = [
-            F.when(
-                (first <= last)
-                & inside(index, size)
-                & ~inside(F.floor(index / 2).cast("int"), size * 2)
-                if level < _LEVELS
-                else (first <= last) & inside(index, size),
-                F.struct(F.lit(level).alias("level"), index.alias("block")),
-            )
-            for index in (first, last)
-        ]
-        return F.array(*keep)
+def _blocks(df: DataFrame) -> DataFrame:
+    """`df` with `low` and `high`, once per aligned block (level, block) that makes up the range.
 
-    found = F.concat(*[at(level) for level in range(_LEVELS + 1)])
-    return F.array_distinct(F.filter(found, lambda b: b.isNotNull()))
+    On each level only the first and the last block inside the range can lie outside a larger
+    one, so a range has at most two blocks a level.
+    """
+    c = F.col
+    levels = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(_LEVELS))).alias("level"))
+    sized = levels.withColumn("_size", F.pow(F.lit(2), c("level")).cast("long")).select(
+        "*",
+        F.ceil(c("low") / c("_size")).cast("long").alias("_first"),
+        (F.floor((c("high") + 1) / c("_size")) - 1).cast("long").alias("_last"),
+    )
+    ends = sized.filter(c("_first") <= c("_last")).select(
+        "*", F.explode(F.array_distinct(F.array("_first", "_last"))).alias("block")
+    )
+    parent = F.floor(c("block") / 2)
+    covered = (
+        (c("level") < _LEVELS)
+        & (parent * 2 * c("_size") >= c("low"))
+        & ((parent + 1) * 2 * c("_size") - 1 <= c("high"))
+    )
+    return ends.filter(~covered).drop("_size", "_first", "_last")
 
 
-def _ancestors(number: Column) -> Column:
-    """Every block that contains the day."""
-    return F.array(
-        *[
-            F.struct(F.lit(level).alias("level"), F.floor(number / (1 << level)).cast("int").alias("block"))
-            for level in range(_LEVELS + 1)
-        ]
-    )
+def _ancestors(df: DataFrame) -> DataFrame:
+    """`df` with `number`, once per block (level, block) that contains the day."""
+    c = F.col
+    levels = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(_LEVELS))).alias("level"))
+    return levels.withColumn("block", F.floor(c("number") / F.pow(F.lit(2), c("level"))).cast("long"))
 
 
 def _tickers_of_wide(wide: DataFrame, days: DataFrame) -> DataFrame:
     """(cusip, day, ticker) for distinct days of CUSIPs with many spans."""
     c = F.col
-    cut = wide.select(
-        "cusip",
-        "ticker",
-        "ord",
-        F.explode(
-            _blocks(
-                F.when(c("fromDate").isNull(), F.lit(0)).otherwise(_day_number(c("fromDate"))),
-                F.when(c("toDate").isNull(), F.lit(_LAST)).otherwise(_day_number(c("toDate"))),
-            )
-        ).alias("at"),
-    ).select("cusip", "ticker", "ord", "at.level", "at.block")
-    nodes = cut.groupBy("cusip", "level", "block").agg(
-        F.min_by("ticker", "ord").alias("ticker"), F.min("ord").alias("ord")
-    )
-    asked = days.select("cusip", "day", F.explode(_ancestors(_day_number(c("day")))).alias("at")).select(
-        "cusip", "day", "at.level", "at.block"
+    low = F.when(c("fromDate").isNull(), F.lit(0)).otherwise(_day_number(c("fromDate")))
+    high = F.when(c("toDate").isNull(), F.lit(_LAST)).otherwise(_day_number(c("toDate")))
+    nodes = (
+        _blocks(wide.select("cusip", "ticker", "ord", low.alias("low"), high.alias("high")))
+        .groupBy("cusip", "level", "block")
+        .agg(F.min_by("ticker", "ord").alias("ticker"), F.min("ord").alias("ord"))
     )
+    asked = _ancestors(days.select("cusip", "day", _day_number(c("day")).alias("number")))
     return (
         asked.join(nodes, ["cusip", "level", "block"])
         .groupBy("cusip", "day")

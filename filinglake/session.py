@@ -10,7 +10,9 @@ from pyspark.sql import SparkSession
 # Runtime settings. Times are UTC instants everywhere, so the zone is not a preference: date
 # columns and year shards are derived with it. Skewed probe sides are split by AQE even when
 # that costs another exchange.
+# Wide parsing stages are generated as small methods the JIT compiles, instead of one it refuses.
 RUNTIME = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

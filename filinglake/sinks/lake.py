@@ -135,7 +135,7 @@ def check_table(df: DataFrame, table: str) -> Checked:
             rules[f"{field.name} not finite"] = F.isnan(cell) | (F.abs(cell) == float("inf"))
     if table == "insider_transactions":
         rules["rowKind unknown"] = ~F.col("rowKind").isin(*schemas.ROW_KINDS)
-    return split_broken(table, df, rules, [F.col(name) for name in df.columns], F.col("accession"))
+    return split_broken(table, df, rules, {name: F.col(name) for name in df.columns}, F.col("accession"))
 
 
 def as_of(df: DataFrame, instant: datetime | str) -> DataFrame:

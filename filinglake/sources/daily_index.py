@@ -17,6 +17,9 @@ REST = (
     rf"^(\S.*?){SPACE_CLASS}{{2,}}(\d+){SPACE_CLASS}+(\d{{4}})(\d{{2}})(\d{{2}}){SPACE_CLASS}+(\S+){SPACE_CLASS}*$"
 )
 
+MARK = "\x01"
+PARTS = f"$1{MARK}$2{MARK}$3-$4-$5{MARK}$6"
+
 
 def read_index(lines: DataFrame) -> Checked:
     """Entries below the dashed separator of every file in `lines` (archive_key, ord, line).
@@ -35,26 +38,24 @@ def read_index(lines: DataFrame) -> Checked:
             "archive_key",
             "ord",
             "line",
-            trimmed(F.substring("line", 1, FORM_WIDTH)).alias("formType"),
-            F.expr(f"substring(line, {FORM_WIDTH + 1})").alias("_rest"),
+            trimmed(F.substring("line", 1, FORM_WIDTH)).alias("form"),
+            # One match per line; its parts come back in one text.
+            F.regexp_replace(F.expr(f"substring(line, {FORM_WIDTH + 1})"), REST, PARTS).alias("_parts"),
         )
+        .select("*", F.split("_parts", MARK).alias("_part"))
     )
-
-    def part(group: int):
-        return F.regexp_extract("_rest", REST, group)
-
-    base = F.substring_index(part(6), "/", -1)
-    columns = [
-        c("archive_key"),
-        c("ord"),
-        c("formType"),
-        part(1).alias("companyName"),
-        part(2).alias("cik"),
-        F.concat_ws("-", part(3), part(4), part(5)).alias("dateFiled"),
-        part(6).alias("fileName"),
-        F.regexp_replace(base, r"\.txt$", "").alias("accession"),
-    ]
-    rules = {"index line": (c("formType") == "") | ~c("_rest").rlike(REST)}
+    part = lambda n: F.get("_part", F.lit(n))
+    columns = {
+        "archive_key": c("archive_key"),
+        "ord": c("ord"),
+        "formType": c("form"),
+        "companyName": part(0),
+        "cik": part(1),
+        "dateFiled": part(2),
+        "fileName": part(3),
+        "accession": F.regexp_replace(F.substring_index(part(3), "/", -1), r"\.txt$", ""),
+    }
+    rules = {"index line": (c("form") == "") | (F.size("_part") != 4)}
     entries = split_broken("daily index", body, rules, columns, trimmed(c("line")))
     headless = separators.filter(c("_at").isNull()).select(
         F.array(F.lit("index separator")).alias("broken"), c("archive_key").alias("sample")

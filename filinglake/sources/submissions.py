@@ -142,7 +142,7 @@ def _leg_broken(leg: Column) -> Column:
     for name in _DATES:
         broken = broken | dates.xml_date_broken(leg[name])
     for name in _NUMBERS:
-        broken = broken | text.number_broken(leg[name])
+        broken = broken | (leg[name].isNotNull() & text.number(leg[name]).isNull())
     return broken
 
 
@@ -167,7 +167,7 @@ def parse_submissions(documents: DataFrame) -> Submissions:
         text.text(doc["issuer"]["issuerTradingSymbol"]).alias("issuerTicker"),
         text.text(doc["periodOfReport"]).alias("_period"),
         text.text(doc["dateOfOriginalSubmission"]).alias("_original"),
-        text.flag(doc["aff10b5One"]).alias("aff10b5One"),
+        text.flag(text.trimmed(doc["aff10b5One"])).alias("aff10b5One"),
         F.coalesce(doc["reportingOwner"], F.array()).alias("_owners"),
         F.concat(
             _legs(doc["nonDerivativeTable"]["nonDerivativeTransaction"], False),
@@ -201,7 +201,7 @@ def parse_submissions(documents: DataFrame) -> Submissions:
         c("archive_key").alias("rawArchiveKey"),
     )
     owner, relation = c("_owner.reportingOwnerId"), c("_owner.reportingOwnerRelationship")
-    role = lambda name: F.coalesce(text.flag(relation[name]), F.lit(False)).alias(name)
+    role = lambda name: F.coalesce(text.flag(text.trimmed(relation[name])), F.lit(False)).alias(name)
     filings = good.withColumn("_owner", F.explode("_owners")).select(
         "*",
         c("_filed").alias("filingDate"),

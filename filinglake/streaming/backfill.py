@@ -17,6 +17,7 @@ from filinglake.sinks import lake
 from filinglake.sources import archives
 
 LEDGER = "roundId STRING, identity STRING, body STRING"
+FILES = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -81,6 +82,7 @@ def run_backfill(
 
     stream = (
         spark.readStream.format("binaryFile")
+        .schema(FILES)
         .option("pathGlobFilter", "*.zip")
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", max_files)

@@ -18,10 +18,14 @@ from filinglake.operators import incremental
 from filinglake.plans import pipelines
 from filinglake.sinks import lake
 from filinglake.sources import submissions
+from filinglake.sources.daily_index import insider_entries
 
-_REJECTS = T.StructType.fromDDL(
-    "archive_key STRING, raw STRING, accession STRING, broken ARRAY<STRING>"
-)
+_REJECTS = T.StructType([
+    T.StructField("archive_key", T.StringType()),
+    T.StructField("raw", T.StringType()),
+    T.StructField("accession", T.StringType()),
+    T.StructField("broken", T.ArrayType(T.StringType())),
+])
 
 
 @dataclass(frozen=True)
@@ -34,8 +38,6 @@ class RefreshPaths:
 
 def pending_entries(entries: DataFrame, known: DataFrame, order: str) -> DataFrame:
     """Index entries to process: insider forms, one per accession, not yet in the lake."""
-    from filinglake.sources.daily_index import insider_entries
-
     chosen = incremental.one_entry_per_accession(insider_entries(entries), order)
     return incremental.unknown_entries(chosen, known)
 
@@ -56,11 +58,8 @@ def one_document_per_accession(documents: DataFrame) -> DataFrame:
 def ingest(spark: SparkSession, documents: DataFrame, paths: RefreshPaths) -> DataFrame:
     """Parse documents (archive_key, raw), merge the new ones, return the rejects."""
     parsed = submissions.parse_submissions(one_document_per_accession(documents))
-    known = lake.read_table(spark, "insider_filings", paths.lake).filter(
-        F.col("availabilitySource") == submissions.schemas.SOURCE_ACCEPTANCE
-    )
-    # An accession already read from its submission needs no second read; one known only from
-    # the quarterly data set is replaced, because its acceptance time is more exact.
+    # Known from either source.
+    known = lake.read_table(spark, "insider_filings", paths.lake).select("accession")
     filings = incremental.unknown_entries(parsed.filings, known)
     transactions = incremental.unknown_entries(parsed.transactions, known)
     pipelines.refresh_insider(spark, paths.lake, filings, transactions)
