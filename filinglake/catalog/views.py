@@ -234,10 +234,10 @@ VIEWS: dict[str, Callable] = {
                       CASE WHEN event_id % 2 = 0 THEN '   ' ELSE '' END) AS line
         FROM {{index_entries}}
         UNION ALL
-        SELECT DISTINCT concat('form.', {d.compact('CAST(ts AS DATE)')}, '.idx'), CAST(n AS BIGINT),
+        SELECT concat('form.', {d.compact('day')}, '.idx'), CAST(n AS BIGINT),
                CASE n WHEN 0 THEN 'Form Type   Company Name   CIK   Date Filed   File Name' WHEN 1 THEN ''
                       ELSE concat(lpad('', 60, '-'), '  ') END
-        FROM {{events}} CROSS JOIN (SELECT 0 AS n UNION ALL SELECT 1 UNION ALL SELECT 2) preamble""",
+        FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM {{events}}) days CROSS JOIN (SELECT 0 AS n UNION ALL SELECT 1 UNION ALL SELECT 2) preamble""",
     "landing": lambda d: f"""
         SELECT page_id, concat(html, '<a href="/files/dera/', CAST(2013 + page_id % 12 AS STRING), 'q', CAST(1 + page_id % 4 AS STRING),
                '_form13f.zip">x</a> <a href="../up_form13f.zip.exe">y</a> <a class="z" href="',
@@ -309,11 +309,11 @@ VIEWS: dict[str, Callable] = {
                     ELSE concat_ws(chr(9), {key('l_partkey', 9)}, 'skip', {key('l_orderkey')}, CAST(l_linenumber AS STRING), 'note', 'last', 'extra') END AS line
         FROM {{lineitem}}
         UNION ALL
-        SELECT DISTINCT CASE l_linestatus WHEN 'F' THEN 'flat' ELSE 'wide' END,
+        SELECT CASE l_linestatus WHEN 'F' THEN 'flat' ELSE 'wide' END,
                {d.row("0", *[f"CAST(NULL AS {t})" for t in ("TIMESTAMP_NTZ" if d.name == "spark" else "TIMESTAMP", "BIGINT", "BIGINT", "DOUBLE", "DOUBLE", "DOUBLE", "DOUBLE", "STRING", "STRING", "BIGINT", "INT")])},
                CASE l_linestatus WHEN 'F' THEN concat_ws(chr(9), ' ACCESSION_NUMBER', 'INFOTABLE_SK', 'CUSIP ', 'NOTE')
                     ELSE concat_ws(chr(9), 'CUSIP', 'OTHER', 'ACCESSION_NUMBER', 'INFOTABLE_SK', 'NOTE', 'NOTE') END
-        FROM {{lineitem}}""",
+        FROM (SELECT DISTINCT l_linestatus FROM {{lineitem}}) files""",
     # Fund holdings and identifiers: several identifier rows a holding, some lines too wide.
     "nport_holding_lines": lambda d: f"""
         SELECT 'h' AS archive_key, CAST(l_orderkey * 100 + l_linenumber AS BIGINT) AS ord,

@@ -88,17 +88,20 @@ def _tickers_of_wide(wide: DataFrame, days: DataFrame) -> DataFrame:
     c = F.col
     low = F.when(c("fromDate").isNull(), F.lit(0)).otherwise(_day_number(c("fromDate")))
     high = F.when(c("toDate").isNull(), F.lit(_LAST)).otherwise(_day_number(c("toDate")))
+    # Only the order travels through the lookups, as a number; the ticker is fetched at the end.
     nodes = (
-        _blocks(wide.select("cusip", "ticker", "ord", low.alias("low"), high.alias("high")))
+        _blocks(wide.select("cusip", "ord", low.alias("low"), high.alias("high")))
         .groupBy("cusip", "level", "block")
-        .agg(F.min_by("ticker", "ord").alias("ticker"), F.min("ord").alias("ord"))
+        .agg(F.min("ord").alias("ord"))
     )
     asked = _ancestors(days.select("cusip", "day", _day_number(c("day")).alias("number")))
-    return (
+    best = (
         asked.join(nodes, ["cusip", "level", "block"])
         .groupBy("cusip", "day")
-        .agg(F.min_by("ticker", "ord").alias("ticker"))
+        .agg(F.min("ord").alias("ord"))
     )
+    tickers = wide.groupBy("cusip", "ord").agg(F.min("ticker").alias("ticker"))
+    return best.join(tickers, ["cusip", "ord"]).select("cusip", "day", "ticker")
 
 
 def _matched(holdings: DataFrame, spans: DataFrame, wide_from: int) -> DataFrame:
