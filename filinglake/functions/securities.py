@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,27 +25,45 @@ def _slash_parts(token: Column) -> Column:
     return F.when(one_symbol, F.array(token)).otherwise(parts)
 
 
-def issuer_ticker(filed: Column) -> Column:
-    """The one joinable symbol in a filer's free text, or null when it names none."""
-    raw = trimmed(filed)
-    plain = F.replace(
-        F.regexp_replace(F.translate(F.upper(raw), '"()[]*', " " * 6), r"([A-Z])'([A-Z])$", "$1.$2"),
-        F.lit("'"),
-    )
-    cleaned = trimmed(F.substring_index(plain, ":", -1))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often `body` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _cleaned(raw: Column) -> Column:
+    """Upper case, without brackets, quotes and venue; an apostrophe may separate the class."""
+    plain = F.regexp_replace(F.translate(F.upper(raw), '"()[]*', " " * 6), r"([A-Z])'([A-Z])$", "$1.$2")
+    return trimmed(F.substring_index(F.replace(plain, F.lit("'")), ":", -1))
+
+
+def _tokens(cleaned: Column) -> Column:
     words = F.filter(F.split(cleaned, _SEPARATOR), lambda word: word != "")
-    tokens = F.flatten(F.transform(words, _slash_parts))
-    symbols = F.filter(tokens, lambda t: t.rlike(SYMBOL) & ~t.isin(*NO_SYMBOL))
+    return F.flatten(F.transform(words, _slash_parts))
+
+
+def _pick(tokens: Column) -> Column:
+    """The joined letters of a spelled-out symbol, else the first token that is a symbol."""
     spelled = F.array_join(tokens, "")
     is_spelled = (F.size(tokens) > 1) & F.forall(tokens, lambda t: t.rlike("^[A-Z]$"))
-    return (
-        F.when(raw.rlike(CLASS_SUFFIX), raw)
-        .when((cleaned == "") | cleaned.isin(*NO_SYMBOL), F.lit(None))
-        .when(is_spelled, F.when(spelled.rlike(SYMBOL), spelled))
-        .otherwise(F.get(symbols, F.lit(0)))
+    symbols = F.filter(tokens, lambda t: t.rlike(SYMBOL) & ~t.isin(*NO_SYMBOL))
+    return F.when(is_spelled, F.when(spelled.rlike(SYMBOL), spelled)).otherwise(
+        F.get(symbols, F.lit(0))
     )
 
 
+def issuer_ticker(filed: Column) -> Column:
+    """The one joinable symbol in a filer's free text, or null when it names none."""
+
+    def of_cleaned(cleaned: Column) -> Column:
+        named = (cleaned != "") & ~cleaned.isin(*NO_SYMBOL)
+        return F.when(named, _let(_tokens(cleaned), _pick))
+
+    def of_raw(raw: Column) -> Column:
+        return F.when(raw.rlike(CLASS_SUFFIX), raw).otherwise(_let(_cleaned(raw), of_cleaned))
+
+    return _let(trimmed(filed), of_raw)
+
+
 def cusip_of_isin(isin: Column) -> Column:
     """The CUSIP inside a US ISIN; null for any other ISIN."""
     return F.when((F.length(isin) == 12) & isin.startswith("US"), F.substring(isin, 3, 9))

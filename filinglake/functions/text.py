@@ -43,23 +43,34 @@ def compact(cell: Column) -> Column:
     return present(F.upper(F.translate(F.coalesce(cell, F.lit("")), SPACES, "")))
 
 
-def number(cell: Column, commas: bool = False) -> Column:
-    """A trimmed cell as a finite double, else null. `commas` drops thousands separators."""
-    digits = F.when(cell.contains(","), trimmed(F.replace(cell, F.lit(","), F.lit("")))).otherwise(cell) if commas else cell
-    value = F.when(digits == "", F.lit(None).cast("double")).when(
-        digits.rlike(_DECIMAL), digits.try_cast("double")
+def without_commas(cell: Column) -> Column:
+    """A trimmed cell without thousands separators."""
+    return F.when(
+        cell.contains(","), trimmed(F.replace(cell, F.lit(","), F.lit("")))
+    ).otherwise(cell)
+
+
+def parse_number(cell: Column) -> Column:
+    """A trimmed cell as a double; null when blank or no number. May overflow to infinity."""
+    value = F.when(cell == "", F.lit(None).cast("double")).when(
+        cell.rlike(_DECIMAL), cell.try_cast("double")
     )
     for radix, shape in _RADIX.items():
         value = value.when(
-            digits.rlike(shape), F.conv(F.substring(digits, 3, 64), radix, 10).try_cast("double")
+            cell.rlike(shape), F.conv(F.substring(cell, 3, 64), radix, 10).try_cast("double")
         )
-    return F.when(F.abs(value) != F.lit(float("inf")), value)
+    return value
+
+
+def number_broken(cell: Column, value: Column) -> Column:
+    """True where a non-blank trimmed cell gave no finite number."""
+    return (cell != "") & (value.isNull() | (F.abs(value) == float("inf")))
 
 
-def number_broken(cell: Column, value: Column, commas: bool = False) -> Column:
-    """True where a non-blank trimmed cell gave no number."""
-    rest = F.translate(cell, "," + SPACES, "") if commas else cell
-    return value.isNull() & (rest != "")
+def number(cell: Column) -> Column:
+    """A trimmed cell as a finite double, else null."""
+    value = parse_number(cell)
+    return F.when(F.abs(value) != float("inf"), value)
 
 
 def yes_no(cell: Column) -> Column:

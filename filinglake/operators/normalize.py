@@ -112,6 +112,7 @@ def holdings_13f(info: DataFrame, submission: DataFrame) -> Checked:
         "discretion": "INVESTMENTDISCRETION",
         "otherManager": "OTHERMANAGER",
     }
+    joined = joined.withColumns({raw: text.without_commas(c(raw)) for raw in amounts.values()})
     columns = _typed(
         "institutional_holdings",
         accession=c("accession"),
@@ -120,7 +121,7 @@ def holdings_13f(info: DataFrame, submission: DataFrame) -> Checked:
         cusip=cusip,
         rawArchiveKey=c("archive_key"),
         **{name: text.present(c(raw)) for name, raw in labels.items()},
-        **{name: text.number(c(raw), commas=True) for name, raw in amounts.items()},
+        **{name: text.parse_number(c(raw)) for name, raw in amounts.items()},
     )
     rules = {
         "INFOTABLE ACCESSION_NUMBER": c("accession").isNull(),
@@ -128,7 +129,7 @@ def holdings_13f(info: DataFrame, submission: DataFrame) -> Checked:
         "INFOTABLE INFOTABLE_SK": typed("infoTableSk").isNull(),
         "INFOTABLE CUSIP": typed("cusip").isNull(),
         **{
-            f"INFOTABLE {raw}": text.number_broken(c(raw), typed(name), commas=True)
+            f"INFOTABLE {raw}": text.number_broken(c(raw), typed(name))
             for name, raw in amounts.items()
         },
     }
@@ -272,7 +273,7 @@ def transactions_insider(submission: DataFrame, nonderiv: DataFrame, deriv: Data
         equitySwapInvolved=text.flag(c("EQUITY_SWAP_INVOLVED")),
         **{name: dates.sec_date(c(raw)) for name, raw in days.items()},
         **{name: text.present(c(raw)) for name, raw in {**_LEG_TEXT, **_DERIV_TEXT}.items()},
-        **{name: text.number(c(raw)) for name, raw in numbers.items()},
+        **{name: text.parse_number(c(raw)) for name, raw in numbers.items()},
     )
     rules = {
         **_fact_rules("transaction"),

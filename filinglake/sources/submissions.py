@@ -222,7 +222,7 @@ def parse_submissions(documents: DataFrame) -> Submissions:
         if name in _DATES:
             return dates.xml_date(leg[name])
         if name in _NUMBERS:
-            return text.number(leg[name])
+            return text.parse_number(leg[name])
         if name == "equitySwapInvolved":
             return text.flag(leg[name])
         return leg[name]
