@@ -49,10 +49,6 @@ def lag_days(filed: str = "filingDate", period: str = "periodOfReport") -> Colum
     return F.datediff(F.col(filed), F.col(period))
 
 
-def windows_of(*tables: DataFrame) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), [t.select("window") for t in tables]).distinct()
-
-
 def repeated_keys(df: DataFrame, order: Column | str) -> DataFrame:
     """Rows whose (window, accession, infoTableSk) was seen before: up to SAMPLE per key.
 
@@ -80,28 +76,39 @@ def holdings_integrity(filings: DataFrame, holdings: DataFrame, order: Column |
     filed = filings.select("window", "accession").distinct().withColumn("_filed", F.lit(True))
     matched = holdings.join(filed, ["window", "accession"], "left")
     kept = matched.filter(c("_filed").isNotNull())
-
-    # One pass at (window, cusip, put/call): small enough to derive every counter from.
+    # One pass at (window, known, cusip, put/call); its sums by CUSIP and by put/call then give
+    # every counter and the inventory, without reading the holdings again.
     empty = (F.coalesce("value", F.lit(0.0)) == 0) & (F.coalesce("sharesAmount", F.lit(0.0)) == 0)
-    base = kept.groupBy("window", "cusip", F.coalesce("putCall", F.lit("NULL")).alias("pc")).agg(
-        F.count(F.lit(1)).alias("_n"),
+    base = matched.groupBy(
+        "window", c("_filed").isNotNull().alias("known"), "cusip", F.coalesce("putCall", F.lit("NULL")).alias("pc")
+    ).agg(
+        F.count(F.lit(1)).alias("n"),
         F.count_if(F.coalesce("issuerName", F.lit("")) == "").alias("null_issuer"),
         F.count_if(empty).alias("zero"),
         F.count_if(F.coalesce("figi", F.lit("")) != "").alias("figi"),
     )
-    per_cusip = base.groupBy("window", "cusip").agg(
-        *[F.sum(name).alias(name) for name in ("_n", "null_issuer", "zero", "figi")]
+    sums = base.groupingSets(
+        [["window", "known", "cusip"], ["window", "known", "pc"]], "window", "known", "cusip", "pc"
+    ).agg(
+        F.grouping("cusip").alias("by_code"),
+        *[F.sum(name).alias(f"_{name}") for name in ("n", "null_issuer", "zero", "figi")],
     )
-    counters = per_cusip.groupBy("window").agg(
-        F.count(F.lit(1)).alias("distinctCusips"),
-        F.sum("null_issuer").alias("nullIssuerHoldings"),
-        F.sum("zero").alias("zeroPositionHoldings"),
-        F.sum(F.when(c("cusip") == PLACEHOLDER, c("_n")).otherwise(0)).alias("placeholderCusips"),
-        F.sum("figi").alias("figiCoverage"),
-    )
-    put_call = _inventory(base, ["window"], c("pc"), "putCall")
-    totals = matched.groupBy("window").agg(
-        F.count(F.lit(1)).alias("holdings"), F.count_if(c("_filed").isNull()).alias("orphanHoldings")
+    by_cusip, by_code = c("by_code") == 0, c("by_code") == 1
+
+    def total(name: str, where: Column) -> Column:
+        return F.coalesce(F.sum(F.when(where, c(f"_{name}"))), F.lit(0))
+
+    counters = sums.groupBy("window").agg(
+        total("n", by_cusip).alias("holdings"),
+        total("n", by_cusip & ~c("known")).alias("orphanHoldings"),
+        F.count_if(by_cusip & c("known")).alias("distinctCusips"),
+        total("null_issuer", by_cusip & c("known")).alias("nullIssuerHoldings"),
+        total("zero", by_cusip & c("known")).alias("zeroPositionHoldings"),
+        total("n", by_cusip & c("known") & (c("cusip") == PLACEHOLDER)).alias("placeholderCusips"),
+        total("figi", by_cusip & c("known")).alias("figiCoverage"),
+        F.map_from_entries(
+            F.array_sort(F.collect_list(F.when(by_code & c("known"), F.struct("pc", c("_n").alias("n")))))
+        ).alias("putCall"),
     )
     duplicates = _first(
         repeated_keys(kept, order), ["window"], "entry", "_ord", "duplicateHoldingKeys"
@@ -127,9 +134,8 @@ def holdings_integrity(filings: DataFrame, holdings: DataFrame, order: Column |
         filings.select("window", lag_days().alias("lag")), ["window"], "lag", LAG_QUANTILES
     ).select("window", *[c(q).alias(f"lag_{q}") for q in LAG_QUANTILES])
 
-    joined = _join_windows(
-        [windows_of(filings, holdings), filing_counts, totals, counters, duplicates, types, notice, put_call, lags]
-    )
+    both = filing_counts.join(counters, "window", "full")
+    joined = _join_windows([both, duplicates, types, notice, lags])
     zero = [
         "filings", "holdings", "distinctCusips", "orphanHoldings", "noticeFilingsWithHoldings",
         "nullManagerFilings", "nullIssuerHoldings", "zeroPositionHoldings", "placeholderCusips",
@@ -210,11 +216,12 @@ def insider_integrity(
         F.sum("no_shares").alias("nullSharesTransactions"),
         F.sum("negative").alias("negativeAmounts"),
         F.sum("_n").alias("transactions"),
+        F.map_from_entries(
+            F.array_sort(F.collect_list(F.when(c("known"), F.struct("code", "_n"))))
+        ).alias("transactionCodes"),
     )
-    codes = _inventory(base.filter("known"), ["window"], c("code"), "transactionCodes")
-    joined = _join_windows(
-        [windows_of(filings, transactions), filing_counts, accessions, duplicates, counters, codes]
-    )
+    both = filing_counts.join(counters, "window", "full")
+    joined = _join_windows([both, accessions, duplicates])
     zero = [
         "filings", "accessions", "transactions", "orphanTransactions", "futureDatedTransactions",
         "nullTickerTransactions", "nullSharesTransactions", "negativeAmounts",

@@ -19,13 +19,23 @@ from filinglake.operators.keyed import first_per_key, last_per_key
 KEY = ["archive_key", "accession"]
 
 
+def _with_key(member: DataFrame) -> DataFrame:
+    return member.withColumn("accession", text.text(F.col("ACCESSION_NUMBER")))
+
+
+def _cells(df: DataFrame) -> DataFrame:
+    """Every raw cell trimmed, once, so that rules and types read the same text."""
+    return df.select(
+        *[
+            F.col(name) if name in ("archive_key", "ord", "accession") else text.trimmed(F.col(name)).alias(name)
+            for name in df.columns
+        ]
+    )
+
+
 def _keyed(member: DataFrame) -> DataFrame:
-    """Cells trimmed once, and the accession they belong to."""
-    cells = [
-        F.col(name) if name in ("archive_key", "ord") else text.trimmed(F.col(name)).alias(name)
-        for name in member.columns
-    ]
-    return member.select(*cells).withColumn("accession", text.present(F.col("ACCESSION_NUMBER")))
+    """Trimmed cells, and the accession they belong to."""
+    return _cells(member).withColumn("accession", text.present(F.col("ACCESSION_NUMBER")))
 
 
 def _typed(table: str, **columns: Column) -> dict[str, Column]:
@@ -35,16 +45,16 @@ def _typed(table: str, **columns: Column) -> dict[str, Column]:
 
 def cover_left(submission: DataFrame, cover: DataFrame) -> DataFrame:
     """Submissions with the first cover page of their accession, or nulls."""
-    pages = _keyed(cover)
+    pages = _with_key(cover)
     wanted = [c for c in pages.columns if c not in submission.columns or c in KEY]
     first = first_per_key(pages.select(*wanted, F.col("ord").alias("_ord")), KEY, "_ord")
-    return _keyed(submission).join(first.drop("_ord"), KEY, "left")
+    return _with_key(submission).join(first.drop("_ord"), KEY, "left")
 
 
 def filings_13f(submission: DataFrame, cover: DataFrame) -> Checked:
     """Institutional filings: one row per submission, the reported quarter kept verbatim."""
     c = F.col
-    joined = cover_left(submission, cover)
+    joined = _cells(cover_left(submission, cover))
     day = dates.sec_date(c("FILING_DATE"))
     columns = _typed(
         "institutional_filings",
