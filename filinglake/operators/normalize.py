@@ -8,6 +8,8 @@ stays two rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,7 +53,7 @@ def cover_left(submission: DataFrame, cover: DataFrame) -> DataFrame:
     return _with_key(submission).join(first.drop("_ord"), KEY, "left")
 
 
-def filings_13f(submission: DataFrame, cover: DataFrame) -> Checked:
+def filings_13f(submission: DataFrame, cover: DataFrame, keep: Sequence[str] = ()) -> Checked:
     """Institutional filings: one row per submission, the reported quarter kept verbatim."""
     c = F.col
     joined = _cells(cover_left(submission, cover))
@@ -81,6 +83,7 @@ def filings_13f(submission: DataFrame, cover: DataFrame) -> Checked:
         "SUBMISSION PERIODOFREPORT": dates.sec_date_broken(c("PERIODOFREPORT"), typed("periodOfReport")),
         "COVERPAGE DATEREPORTED": dates.sec_date_broken(c("DATEREPORTED"), typed("dateReported")),
     }
+    columns.update({name: c(name) for name in keep})
     good = split_broken("institutional_filings", joined, rules, columns, c("accession"))
     blank_cover = split_broken(
         "institutional_filings",
@@ -100,7 +103,7 @@ def first_availability(submission: DataFrame) -> DataFrame:
     return first_per_key(days, KEY, "ord").drop("ord")
 
 
-def holdings_13f(info: DataFrame, submission: DataFrame) -> Checked:
+def holdings_13f(info: DataFrame, submission: DataFrame, keep: Sequence[str] = ()) -> Checked:
     """Institutional holdings, available when their filing was."""
     c = F.col
     joined = _keyed(info).join(first_availability(submission), KEY, "left")
@@ -143,6 +146,7 @@ def holdings_13f(info: DataFrame, submission: DataFrame) -> Checked:
             for name, raw in amounts.items()
         },
     }
+    columns.update({name: c(name) for name in keep})
     where = F.concat_ws("/", c("accession"), c("INFOTABLE_SK"))
     return split_broken("institutional_holdings", joined, rules, columns, where)
 

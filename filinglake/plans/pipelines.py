@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from filinglake import schemas
 from filinglake.operators import merge, normalize, spans, units
 from filinglake.operators.checks import Checked
 from filinglake.operators.units import RULE, UnitRule
+from filinglake.session import work_path
 from filinglake.sinks import lake
 from filinglake.sources import tsv
 
@@ -30,12 +31,14 @@ def member_records(lines: DataFrame, members: Mapping[str, dict], check: bool =
     }
 
 
-def institutional_rows(lines: DataFrame, check: bool = True) -> tuple[Checked, Checked]:
-    """13F filings and holdings of landed archives."""
+def institutional_rows(
+    lines: DataFrame, check: bool = True, keep: Sequence[str] = ()
+) -> tuple[Checked, Checked]:
+    """13F filings and holdings of landed archives; `keep=["ord"]` adds the file order."""
     m = member_records(lines, schemas.MEMBERS_13F, check)
     return (
-        normalize.filings_13f(m["SUBMISSION.tsv"], m["COVERPAGE.tsv"]),
-        normalize.holdings_13f(m["INFOTABLE.tsv"], m["SUBMISSION.tsv"]),
+        normalize.filings_13f(m["SUBMISSION.tsv"], m["COVERPAGE.tsv"], keep),
+        normalize.holdings_13f(m["INFOTABLE.tsv"], m["SUBMISSION.tsv"], keep),
     )
 
 
@@ -51,13 +54,30 @@ def insider_rows(lines: DataFrame, check: bool = True) -> tuple[Checked, Checked
 
 
 def resolved_holdings(
-    filings: DataFrame, holdings: DataFrame, ticker_spans: DataFrame, rule: UnitRule = RULE
+    filings: DataFrame,
+    holdings: DataFrame,
+    ticker_spans: DataFrame,
+    order: str = "availableAt",
+    rule: UnitRule = RULE,
 ) -> DataFrame:
     """Holdings in whole dollars with the ticker of their own day: units first, once, then tickers."""
-    dollars = units.to_dollars(filings, holdings, "availableAt", rule)
+    dollars = units.to_dollars(filings, holdings, order, rule)
     return spans.resolve_tickers(dollars, ticker_spans)
 
 
+def _landed(spark: SparkSession, rows: DataFrame, label: str, paths: list[str]) -> DataFrame:
+    """Rows written to the shared folder and read back: parsed once, whatever reads them.
+
+    The folder is added to `paths`, for removal when the job is done.
+    """
+    paths.append(work_path(spark, label))
+    rows.write.parquet(paths[-1])
+    return spark.read.schema(rows.schema).parquet(paths[-1])
+
+
+_INSIDER = ("insider_filings", "insider_transactions")
+
+
 def refresh_insider(
     spark: SparkSession, root: str, filings: DataFrame, transactions: DataFrame
 ) -> list[int]:
@@ -66,41 +86,43 @@ def refresh_insider(
     Both tables' rows are staged before either is published, so the second merge still sees the
     first table as it was.
     """
-    incoming = (filings, transactions)
-    existing = tuple(
-        lake.read_table(spark, name, root) for name in ("insider_filings", "insider_transactions")
-    )
-    taken = merge.taken_accessions(existing, incoming)
-    touched = []
-    for old, new in zip(existing, incoming):
-        found = merge.affected_years(old, new, taken).collect()  # one row per year
-        touched.append(sorted(r.availableYear for r in found))
-    held = tuple(
-        old.filter(F.col(lake.SHARD).isin(years)).drop(lake.SHARD) for old, years in zip(existing, touched)
-    )
-    everything = tuple(old.drop(lake.SHARD) for old in existing)
-    ranked = merge.merge_insider(everything, incoming)
+    scratch: list[str] = []
+    incoming = tuple(_landed(spark, df, name, scratch) for name, df in zip(_INSIDER, (filings, transactions)))
+    held = tuple(lake.read_table(spark, name, root) for name in _INSIDER)
+    taken = _landed(spark, merge.taken_accessions(held, incoming), "taken", scratch)
+    ranked = merge.merge_insider(tuple(old.drop(lake.SHARD) for old in held), incoming)
     ranked[0].strict()  # refuse the merge before anything is written
     staged = []
-    for table, old, new in zip(("insider_filings", "insider_transactions"), held, incoming):
-        kept = old.join(taken, "accession", "left_anti")
+    for table, old, new in zip(_INSIDER, held, incoming):
+        found = merge.affected_years(old, new, taken).collect()  # one row per year
+        years = sorted(r.availableYear for r in found)
+        kept = old.filter(F.col(lake.SHARD).isin(years)).drop(lake.SHARD).join(taken, "accession", "left_anti")
         fresh = new.join(taken, "accession", "left_semi")
-        staged.append(lake.stage(spark, kept.unionByName(fresh.select(*kept.columns)), table))
-    for table, path, years in zip(("insider_filings", "insider_transactions"), staged, touched):
+        rows = kept.unionByName(fresh.select(*kept.columns))
+        staged.append((table, lake.stage(spark, rows, table), years))
+    for table, path, years in staged:
         lake.publish_stage(spark, path, table, root, years)
-    return sorted({*touched[0], *touched[1]})
+    lake.remove(spark, scratch)
+    return sorted({year for _, _, years in staged for year in years})
 
 
 def refresh_institutional(
-    spark: SparkSession, root: str, filings: DataFrame, holdings: DataFrame
+    spark: SparkSession, root: str, filings: DataFrame, holdings: DataFrame, order: str = "ord"
 ) -> list[int]:
-    """Upsert re-read 13F windows into the lake; returns the years rewritten."""
-    rewritten = set()
-    for table, new in (("institutional_filings", filings), ("institutional_holdings", holdings)):
+    """Upsert re-read 13F windows into the lake; returns the years rewritten.
+
+    `order` is the rows' position in their archive: of two rows with one key the last stands.
+    """
+    rewritten, scratch = set(), []
+    for table, rows in (("institutional_filings", filings), ("institutional_holdings", holdings)):
+        new = _landed(spark, rows, table, scratch)
         old = lake.read_table(spark, table, root)
-        years = sorted(r.availableYear for r in merge.affected_years(old, new).collect())
+        found = merge.affected_years(old, new).collect()  # one row per year
+        years = sorted(r.availableYear for r in found)
         held = old.filter(F.col(lake.SHARD).isin(years)).drop(lake.SHARD)
-        merged = merge.merge_institutional(table, held, new, "availableAt").strict()
+        placed = held.withColumn(order, F.lit(None).cast(new.schema[order].dataType))
+        merged = merge.merge_institutional(table, placed, new, order).strict().drop(order)
         lake.replace_years(spark, merged, table, root, years)
         rewritten.update(years)
+    lake.remove(spark, scratch)
     return sorted(rewritten)

@@ -55,6 +55,13 @@ def _file_system(spark: SparkSession, path: str):
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
 
+def remove(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Delete folders a job wrote for itself."""
+    for path in paths:
+        fs, at = _file_system(spark, path)
+        fs.delete(at, True)
+
+
 def shard_years(spark: SparkSession, path: str) -> list[int]:
     """Years that have a folder: a listing, bounded by the years there are."""
     fs, at = _file_system(spark, path)
@@ -78,14 +85,11 @@ def publish_stage(
 
     A shard that ends up empty is removed: a dynamic overwrite alone would leave its old rows.
     """
-    fs, _ = _file_system(spark, root)
     kept = set(shard_years(spark, staged))
     if kept:
         write_lake(spark.read.schema(schemas.TABLES[table]).parquet(staged), table, root)
-    for year in years:
-        if year not in kept:
-            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}/{SHARD}={year}"), True)
-    fs.delete(spark._jvm.org.apache.hadoop.fs.Path(staged), True)
+    empty = [f"{root}/{table}/{SHARD}={year}" for year in years if year not in kept]
+    remove(spark, [*empty, staged])
 
 
 def replace_years(

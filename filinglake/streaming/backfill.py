@@ -66,7 +66,7 @@ def run_backfill(
         )
         landed = session.read.parquet(target)
         if dataset == "form13f":
-            filings, rows = pipelines.institutional_rows(landed)
+            filings, rows = pipelines.institutional_rows(landed, keep=["ord"])
             pipelines.refresh_institutional(session, root, filings.strict(), rows.strict())
         else:
             filings, rows = pipelines.insider_rows(landed)

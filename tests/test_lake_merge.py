@@ -128,3 +128,18 @@ def test_joint_filings_do_not_multiply_shares(spark):
     found = {r.ownerCik: (r.filings, r.legs, r.acquired, r.disposed) for r in analytics.owner_activity(filings, legs).collect()}
     assert found == {"1": (1, 2, 5.0, 2.0), "2": (1, 2, 5.0, 2.0)}
     assert analytics.cluster_buying(filings, legs).first().buyers == 2
+
+
+def test_whole_13f_chain(spark, tmp_path):
+    """Re-reading a window replaces it; units and tickers follow from the stored rows."""
+    def window(value):
+        filings = table(spark, "institutional_filings", [{"filingDate": dt.date(2020, 5, 15)}]).drop("window")
+        rows = [{"value": 1.0}, {"value": value}, {"infoTableSk": "11", "accession": "Z", "value": 3.0}]
+        return filings, table(spark, "institutional_holdings", rows).drop("window")
+
+    for value in (2.0, 5.0):
+        pipelines.refresh_institutional(spark, str(tmp_path), *window(value))
+    filings, holdings = (lake.read_table(spark, n, str(tmp_path)) for n in ("institutional_filings", "institutional_holdings"))
+    spans = spark.createDataFrame([("123456789", "EX", None, None, 0)], "cusip STRING, ticker STRING, fromDate DATE, toDate DATE, ord LONG")
+    got = pipelines.resolved_holdings(filings, holdings, spans).orderBy("infoTableSk").collect()
+    assert [(r.value, r.valueUnitSource, r.resolvedTicker) for r in got] == [(5000.0, "date", "EX"), (3.0, "unknown", "EX")]
