@@ -2,8 +2,7 @@
 
 Spans come in the order of trust (`ord`). A CUSIP usually has one to a few spans, so those are
 packed into one row per CUSIP, at most `WIDE` entries long, and the holdings join that row on
-CUSIP alone: no row is multiplied. A CUSIP with more distinct spans takes the second, equally
-exact way: its spans are cut into aligned power-of-two blocks of days, and each distinct
+CUSIP alone: no row is multiplied. A CUSIP with more spans takes the second, equally exact way: its spans are cut into aligned power-of-two blocks of days, and each distinct
 (CUSIP, day) among the holdings looks up the blocks that contain it. Neither way gathers a
 group or pairs every span with every row.
 """
@@ -23,20 +22,15 @@ _LAST = 2**_LEVELS - 1
 
 
 def _clean_spans(spans: DataFrame) -> DataFrame:
-    """Trimmed spans without blank ones, one per (cusip, from, to): the most trusted."""
+    """Trimmed spans; those without a CUSIP or a ticker do not count."""
     c = F.col
-    clean = spans.select(
+    return spans.select(
         F.upper(text.trimmed(c("cusip"))).alias("cusip"),
         text.text(c("ticker")).alias("ticker"),
         c("fromDate").cast("date").alias("fromDate"),
         c("toDate").cast("date").alias("toDate"),
         "ord",
     ).filter((c("cusip") != "") & c("ticker").isNotNull())
-    # Later spans with the same bounds can never be first, whatever the day.
-    return (
-        clean.groupBy("cusip", "fromDate", "toDate")
-        .agg(F.min_by("ticker", "ord").alias("ticker"), F.min("ord").alias("ord"))
-    )
 
 
 def _covers(span: Column, day: Column) -> Column:
