@@ -9,6 +9,7 @@ from filinglake.catalog import oracle_text as o
 from filinglake.catalog.registry import register
 from filinglake.catalog.views import Tables
 from filinglake.operators import integrity
+from filinglake.operators.keyed import side_by_side
 from filinglake.sources import manifest
 
 _LAG = 'date_diff(\'day\', "periodOfReport", "filingDate")'
@@ -123,7 +124,7 @@ def a11(t: Tables) -> DataFrame:
     total = integrity.rollup(
         _holdings_report(t), _HOLDINGS_COUNTERS, ["putCall", "submissionTypes"], "duplicateHoldingKeys"
     )
-    return total.join(integrity.accession_spread(t.inst_filings), how="cross")  # one row each
+    return side_by_side(total, integrity.accession_spread(t.inst_filings))
 
 
 @register(

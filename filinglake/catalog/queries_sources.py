@@ -250,8 +250,9 @@ def k2(t: Tables) -> DataFrame:
     lake.write_lake(t.insider_filings, "insider_filings", root)
     lake.publish_views(t.spark, root, ("lake", "2026-01-01T00:00:00Z", 1), "insider_filings", 1998, prefix="k2_")
     return t.spark.sql(
-        """SELECT s.dataset, s.schema_version, f.formType, f.n
-           FROM (SELECT formType, count(*) AS n FROM k2_insider_filings GROUP BY formType) f CROSS JOIN k2_dataset_snapshot s"""
+        """SELECT (SELECT dataset FROM k2_dataset_snapshot) AS dataset,
+                  (SELECT schema_version FROM k2_dataset_snapshot) AS schema_version, formType, count(*) AS n
+           FROM k2_insider_filings GROUP BY formType"""
     )
 
 

@@ -126,6 +126,12 @@ def _commas(d) -> str:
         ELSE CAST({_MONEY} AS STRING) END"""
 
 
+def _preamble(d, number: int, text: str) -> str:
+    """One line at the head of each day's index."""
+    return f"""SELECT concat('form.', {d.compact('day')}, '.idx') AS archive_key, CAST({number} AS BIGINT) AS ord, {text} AS line
+        FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM {{events}}) days"""
+
+
 VIEWS: dict[str, Callable] = {
     # ---- typed lake tables -------------------------------------------------------------
     "inst_filings": lambda d: f"""
@@ -234,10 +240,8 @@ VIEWS: dict[str, Callable] = {
                       CASE WHEN event_id % 2 = 0 THEN '   ' ELSE '' END) AS line
         FROM {{index_entries}}
         UNION ALL
-        SELECT concat('form.', {d.compact('day')}, '.idx'), CAST(n AS BIGINT),
-               CASE n WHEN 0 THEN 'Form Type   Company Name   CIK   Date Filed   File Name' WHEN 1 THEN ''
-                      ELSE concat(lpad('', 60, '-'), '  ') END
-        FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM {{events}}) days CROSS JOIN (SELECT 0 AS n UNION ALL SELECT 1 UNION ALL SELECT 2) preamble""",
+        {_preamble(d, 0, "'Form Type   Company Name   CIK   Date Filed   File Name'")}
+        UNION ALL {_preamble(d, 1, "''")} UNION ALL {_preamble(d, 2, "concat(lpad('', 60, '-'), '  ')")}""",
     "landing": lambda d: f"""
         SELECT page_id, concat(html, '<a href="/files/dera/', CAST(2013 + page_id % 12 AS STRING), 'q', CAST(1 + page_id % 4 AS STRING),
                '_form13f.zip">x</a> <a href="../up_form13f.zip.exe">y</a> <a class="z" href="',

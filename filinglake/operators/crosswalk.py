@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filinglake.functions import securities, text
+from filinglake.operators.keyed import side_by_side
 
 
 def fold_identifiers(identifiers: DataFrame) -> DataFrame:
@@ -95,9 +96,8 @@ def crosswalk_stats(holdings: DataFrame, identifiers: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("identifierRows"), F.count_if("malformed").alias("_bad_identifiers")
     )
     named = folded.agg(F.count("ticker").alias("holdingsWithTicker"))
-    # Four single rows side by side.
     return (
-        lines.join(marks, how="cross").join(named, how="cross").join(judged, how="cross")
+        side_by_side(lines, marks, named, judged)
         .select(
             "holdingRows",
             "identifierRows",

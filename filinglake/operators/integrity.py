@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from filinglake.operators.keyed import as_column
+from filinglake.operators.keyed import as_column, side_by_side
 from filinglake.operators.quantiles import floor_quantiles
 
 # Entries in a sample list, the placeholder CUSIP, the notice form prefix.
@@ -281,7 +281,7 @@ def rollup(report: DataFrame, counters: list[str], inventories: list[str], sampl
         .select(F.transform("top", lambda e: e["entry"]).alias(samples))
     )
     parts = [_summed_maps(report, name) for name in inventories]
-    return reduce(lambda a, b: a.join(b, how="cross"), [totals, *parts, entries])
+    return side_by_side(totals, *parts, entries)
 
 
 def boundary_overlaps(report: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ third of the input never gathers in one task, as it would in a ranking window.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,3 +37,9 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Column | str) -> Da
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Column | str) -> DataFrame:
     return _one_per_key(df, keys, F.max_by, order)
+
+
+def side_by_side(*parts: DataFrame) -> DataFrame:
+    """The columns of several one-row tables in one row."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return rows.agg(*[F.first(name, ignorenulls=True).alias(name) for name in rows.columns])
