@@ -138,7 +138,8 @@ def train(documents: DataFrame, labels: DataFrame, folds: int = 3, held_out: int
         usable = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     rows = documents.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(usable), "doc_id")
     found = rows.select("toxic", "text").mapInArrow(_features_of, "toxic INT, words ARRAY<INT>")
-    sample = common.land(found.dropDuplicates(["toxic", "words"]), "toxic-sample").repartition(WORKERS)
+    # Read again in every round, each worker its own files: no round shuffles anything.
+    sample = common.land(found.dropDuplicates(["toxic", "words"]).repartition(WORKERS), "toxic-sample").coalesce(WORKERS)
 
     def texts_per_feature(batches):
         labels_, index, offsets = _rows(batches)
