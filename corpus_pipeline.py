@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filinglake.llm import toxicity
+from filinglake.llm import near_dedup, toxicity
 from filinglake.llm.common import land, table
 
 
@@ -13,8 +13,14 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    return near_dedup.one_of_each(docs)
+
+
 STAGES = [
     ("toxicity", reject_toxic),
+    ("near_dedup", drop_near_copies),
 ]
 
 # Trained models and signatures have no SQL form; tests compare the stages with brute force.

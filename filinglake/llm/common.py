@@ -16,7 +16,7 @@ from filinglake.session import prepare, work_path
 SHINGLE_WORDS = 5
 # Rows handed to Python at once; texts of a batch are then cut into slices of SLICE_BYTES.
 BATCH_ROWS = 512
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 # Odd multipliers, one per position of a word in its shingle.
 _POSITION = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
@@ -47,6 +47,11 @@ def checksum(text: Column) -> Column:
     return F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
 
 
+def digest(text: Column) -> Column:
+    """MD5 of the text as 16 bytes; null counts as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """Fold of a document: CRC-32 of its id as text, modulo `folds`; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
