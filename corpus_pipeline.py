@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filinglake.llm import near_dedup, toxicity
+from filinglake.llm import decontaminate, near_dedup, toxicity
 from filinglake.llm.common import land, table
 
 
@@ -18,9 +18,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return near_dedup.one_of_each(docs)
 
 
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 STAGES = [
     ("toxicity", reject_toxic),
     ("near_dedup", drop_near_copies),
+    ("decontamination", drop_leaks),
 ]
 
 # Trained models and signatures have no SQL form; tests compare the stages with brute force.

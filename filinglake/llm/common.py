@@ -7,7 +7,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -102,13 +101,20 @@ def words(texts: pa.Array, letters_only: bool = False) -> tuple[pa.Array, np.nda
 
 
 def word_hashes(flat: pa.Array) -> np.ndarray:
-    """64-bit hash of each word; every different word is hashed once."""
-    coded = flat.dictionary_encode()
-    if not len(coded):
+    """64-bit hash of each word: its bytes times a random number per place, summed and mixed."""
+    n = len(flat)
+    if not n:
         return np.empty(0, np.uint64)
-    digest = xxhash.xxh3_64_intdigest
-    own = np.fromiter((digest(w) for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
-    return own[coded.indices.to_numpy()]
+    ends = np.frombuffer(flat.buffers()[1], np.int32)[flat.offset : flat.offset + n + 1].astype(np.int64)
+    sizes = np.diff(ends)
+    raw = np.frombuffer(flat.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+    place = np.arange(len(raw)) - np.repeat(ends[:-1] - ends[0], sizes)
+    factors = mix(np.arange(1, int(sizes.max(initial=0)) + 2, dtype=np.uint64) * _POSITION[0])
+    out = np.zeros(n, np.uint64)
+    full = sizes > 0
+    if full.any():
+        out[full] = np.add.reduceat((raw.astype(np.uint64) + np.uint64(1)) * factors[place], (ends[:-1] - ends[0])[full])
+    return mix(out + sizes.astype(np.uint64) * _POSITION[1])
 
 
 def shingles(texts: pa.Array, size: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
