@@ -7,9 +7,11 @@ texts, the same share at any size, and gives rarer ones nearly the same, highest
 shingles weigh the same everywhere, so weighted Jaccard similarity is well defined and is what
 candidates are verified by.
 
-Candidates share all ROWS samples of one of BANDS bands. A band's group is never paired with itself:
-its first text leads, every other one is verified against the leader, those that fail go on with a
-leader of their own, until no group is left. Texts linked by verified pairs form a class.
+Candidates share all ROWS samples of one of BANDS bands. Such a group is cut into parts of about PART
+texts, and a part yields a spanning forest by the agreement of all samples: at most one link a text, and a
+second to its next best neighbour, never all pairs. The first text of each tree then meets those of the
+group's other parts, in smaller groups that share one more band, until a group has one part. The links are
+verified by their exact similarity; texts linked by those that pass form a class.
 
 Defined cases: a null text counts as empty; texts without words equal only equal texts; equal texts
 share a class whatever their ids, repeated rows and null ids included; a class is named by its
@@ -30,6 +32,9 @@ from filinglake.llm import common
 SIMILARITY = 0.8
 BANDS, ROWS = 12, 3
 DEPTH, CELLS = 2, 1 << 19
+# Texts of a group compared at once, and the share of equal samples that makes a link worth verifying:
+# a pair of similarity 0.8 has less in one case of some thousands.
+PART, AGREEMENT = 512, 20 / (BANDS * ROWS)
 _CHUNK = 1 << 14
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -138,6 +143,7 @@ def _signed(sent):
                 hashes, times, offsets = common.weighted_set(*common.shingles(cut["text"]))
                 full = np.diff(offsets) > 0
                 bands = np.zeros((len(full), BANDS), np.uint64)
+                drawn = [None] * len(full)
                 if full.any():
                     found = samples(hashes, sent.value.weights(hashes, times), offsets, BANDS * ROWS)
                     for band in range(BANDS):
@@ -145,10 +151,15 @@ def _signed(sent):
                         for row in range(ROWS):
                             key = common.mix(key * _STEP + found[band * ROWS + row])
                         bands[full, band] = key
+                    short = np.ascontiguousarray(found.T.astype(np.uint32))
+                    for row, own in zip(np.flatnonzero(full), short, strict=True):
+                        drawn[row] = own.tobytes()
                 flat = pa.array(bands[full].ravel().view(np.int64))
                 ends = np.concatenate(([0], np.cumsum(full * BANDS))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), flat)
-                yield pa.RecordBatch.from_arrays([cut["doc_id"], cut["digest"], lists], ["doc_id", "digest", "bands"])
+                yield pa.RecordBatch.from_arrays(
+                    [cut["doc_id"], cut["digest"], lists, pa.array(drawn, pa.binary())], ["doc_id", "digest", "bands", "samples"]
+                )
 
     return sign
 
@@ -178,31 +189,92 @@ def _verified(sent):
             for start in range(0, batch.num_rows, 128):
                 cut = batch.slice(start, 128)
                 found = similarities(cut["left"], cut["right"], sent.value)
-                yield pa.RecordBatch.from_arrays([cut["leader"], cut["node"], pa.array(found)], ["leader", "node", "similarity"])
+                yield pa.RecordBatch.from_arrays([cut["a"], cut["b"], pa.array(found)], ["a", "b", "similarity"])
 
     return verify
 
 
-def _links(state: DataFrame, texts: DataFrame, sent, threshold: float) -> DataFrame:
-    """Verified (leader, node, similarity) of all groups in `state` (key, node)."""
-    tested, turn = None, 0
+def forest(drawn: np.ndarray, least: float = AGREEMENT) -> tuple[list[tuple[int, int]], list[int]]:
+    """Links of a maximum spanning forest by share of equal samples, second-best links, and the first of each tree."""
+    n = len(drawn)
+    equal = np.zeros((n, n), np.int16)
+    for k in range(drawn.shape[1]):
+        equal += drawn[:, None, k] == drawn[None, :, k]
+    np.fill_diagonal(equal, -1)
+    enough = least * drawn.shape[1] - 1e-9
+    links, firsts, best, near = [], [], np.full(n, -1), np.zeros(n, np.int64)
+    free = np.ones(n, bool)
+    for _ in range(n):
+        at = int(np.argmax(np.where(free, best, -2)))
+        if best[at] >= enough:
+            links.append((int(near[at]), at))
+        else:
+            at = int(np.argmax(free))
+            firsts.append(at)
+        free[at] = False
+        closer = equal[at] > best
+        best[closer], near[closer] = equal[at][closer], at
+    if n > 2:
+        second = np.argpartition(equal, n - 2, axis=1)[:, n - 2]
+        links += [(i, int(j)) for i, j in enumerate(second) if equal[i, j] >= enough]
+    return links, firsts
+
+
+def _parted(batches):
+    """Links within each part of a group, and the first text of each tree of a group of several parts.
+
+    Rows come sorted by (key, part); a part, of bounded size, may run over several batches.
+    """
+    kept: list[tuple] = []
+
+    def found(rows):
+        links, firsts = forest(np.frombuffer(b"".join(r[4] for r in rows), np.uint32).reshape(len(rows), -1))
+        out = [(None, *sorted((rows[i][3], rows[j][3]))) for i, j in links]
+        return out + [(rows[i][0], rows[i][3], None) for i in firsts if rows[0][2] > 1]
+
+    def packed(out):
+        columns = list(zip(*out, strict=True)) if out else [[], [], []]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary())],
+            ["key", "a", "b"],
+        )
+
+    for batch in batches:
+        out = []
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if kept and kept[0][:2] != row[:2]:
+                out += found(kept)
+                kept = []
+            kept.append(row)
+        yield packed(out)
+    if kept:
+        yield packed(found(kept))
+
+
+def _candidates(distinct: DataFrame) -> DataFrame:
+    """Pairs (a, b) of digests worth verifying, from (digest, bands, samples) of different texts."""
+    own = distinct.where("samples IS NOT NULL")
+    state = own.select(F.explode("bands").alias("key"), "digest")
+    pairs, level = None, 0
     while True:
-        lead = state.groupBy("key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        members = state.join(lead.drop("n"), "key").where("node <> leader")
-        pairs = members.select("leader", "node").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["leader", "node"], "left_anti")
-        both = (
-            pairs.join(texts.select(F.col("digest").alias("node"), F.col("text").alias("right")), "node")
-            .join(texts.select(F.col("digest").alias("leader"), F.col("text").alias("left")), "leader")
-            .select("leader", "node", "left", "right")
+        sizes = state.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        parts = F.ceil(F.col("n") / PART).cast("int")
+        cut = (
+            state.join(sizes, "key")
+            .select("key", F.pmod(F.xxhash64("key", "digest"), parts).cast("int").alias("part"), parts.alias("parts"), "digest")
+            .join(own.select("digest", "samples"), "digest")
+            .select("key", "part", "parts", "digest", "samples")
         )
-        now = common.land(both.mapInArrow(_verified(sent), "leader BINARY, node BINARY, similarity DOUBLE"), f"near-links{turn}")
-        tested = now if tested is None else tested.union(now)
-        failed = members.join(tested.where(F.col("similarity") < threshold), ["leader", "node"]).select("key", "node")
-        state, turn = common.land(failed, f"near-state{turn}"), turn + 1
-        if state.isEmpty():
-            return tested
+        dealt = cut.repartition("key", "part").sortWithinPartitions("key", "part", "digest")
+        now = common.land(dealt.mapInArrow(_parted, "key LONG, a BINARY, b BINARY"), f"near-level{level}")
+        links = now.where("b IS NOT NULL").select("a", "b").distinct()
+        pairs = links if pairs is None else pairs.union(links)
+        firsts = now.where("b IS NULL").select("key", F.col("a").alias("digest"))
+        if firsts.isEmpty():
+            return pairs.distinct()
+        state = firsts.join(own.select("digest", F.explode("bands").alias("band")), "digest")
+        state = common.land(state.select(F.xxhash64("key", "band").alias("key"), "digest").distinct(), f"near-state{level}")
+        level += 1
 
 
 def classes(documents: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -210,25 +282,34 @@ def classes(documents: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFr
     spark = documents.sparkSession
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), common.digest(F.col("text")).alias("digest"))
     sent = spark.sparkContext.broadcast(frequencies(texts))
-    signed = common.land(texts.mapInArrow(_signed(sent), "doc_id LONG, digest BINARY, bands ARRAY<LONG>"), "near-signed")
+    signed = common.land(
+        texts.mapInArrow(_signed(sent), "doc_id LONG, digest BINARY, bands ARRAY<LONG>, samples BINARY"), "near-signed"
+    )
     distinct = common.land(
-        signed.groupBy("digest").agg(F.min("doc_id").alias("exact_id"), F.first("bands").alias("bands")), "near-distinct"
+        signed.groupBy("digest").agg(F.min("doc_id").alias("exact_id"), F.min(F.struct("samples", "bands")).alias("s")).select("digest", "exact_id", "s.*"),
+        "near-distinct",
     )
-    keyed = distinct.select(F.explode("bands").alias("key"), F.col("digest").alias("node"), "exact_id")
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    state = common.land(keyed.join(shared, "key"), "near-groups")
-    needed = state.select(F.col("node").alias("digest"), F.col("exact_id").alias("doc_id")).distinct()
+    pairs = common.land(_candidates(distinct), "near-pairs")
+    stand_in = F.lit(-(2**63))
+    ends = pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest"))).distinct()
+    needed = distinct.join(ends, "digest").select("digest", F.coalesce("exact_id", stand_in).alias("doc_id"))
     once = Window.partitionBy("doc_id", "digest").orderBy("digest")
-    found = (
-        texts.withColumn("doc_id", F.coalesce("doc_id", F.lit(-(2**63))))
-        .join(needed.withColumn("doc_id", F.coalesce("doc_id", F.lit(-(2**63)))), ["doc_id", "digest"], "left_semi")
+    found = common.land(
+        texts.withColumn("doc_id", F.coalesce("doc_id", stand_in))
+        .join(needed, ["doc_id", "digest"], "left_semi")
         .withColumn("turn", F.row_number().over(once))
         .where("turn = 1")
-        .select("digest", "text")
+        .select("digest", "text"),
+        "near-texts",
+    )
+    both = (
+        pairs.join(found.select(F.col("digest").alias("a"), F.col("text").alias("left")), "a")
+        .join(found.select(F.col("digest").alias("b"), F.col("text").alias("right")), "b")
+        .select("a", "b", "left", "right")
     )
-    links = _links(state.select("key", "node"), common.land(found, "near-texts"), sent, threshold)
+    links = common.land(both.mapInArrow(_verified(sent), "a BINARY, b BINARY, similarity DOUBLE"), "near-links")
     edges = links.where(F.col("similarity") >= threshold)
-    roots = common.components(edges.select(F.col("leader").alias("a"), F.col("node").alias("b")), "near")
+    roots = common.components(edges, "near")
     rooted = distinct.select("digest", "exact_id").join(roots.withColumnRenamed("node", "digest"), "digest", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "digest"))
     named = rooted.groupBy("root").agg(F.min("exact_id").alias("class_id"))
