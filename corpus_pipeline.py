@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filinglake.llm import decontaminate, near_dedup, toxicity
+from filinglake.llm import decontaminate, near_dedup, packing, sanitise, toxicity
 from filinglake.llm.common import land, table
 
 
@@ -23,10 +23,22 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
+def sanitise_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data and disclosing terms replaced in their texts."""
+    return sanitise.sanitised(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their place in token sequences."""
+    return packing.pack(docs)
+
+
 STAGES = [
     ("toxicity", reject_toxic),
     ("near_dedup", drop_near_copies),
     ("decontamination", drop_leaks),
+    ("sanitise", sanitise_texts),
+    ("packing", pack_sequences),
 ]
 
 # Trained models and signatures have no SQL form; tests compare the stages with brute force.
