@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filinglake.llm import decontaminate, near_dedup, packing, sanitise, secrets, toxicity
+from filinglake.llm import decontaminate, fingerprints, langid, near_dedup, packing, sanitise, secrets, toxicity
 from filinglake.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(table(spark, sf_dir, "documents"))
+
+
 def op4_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sanitise.personal_data(table(spark, sf_dir, "documents"))
 
@@ -30,16 +34,22 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_language": op2_language,
     "op4_sanitise": op4_sanitise,
     "op6_toxicity": op6_toxicity,
     "op7_packing": op7_packing,
     "op8_decontamination": op8_decontamination,
+    "op9_fingerprints": op9_fingerprints,
     "op10_secrets": op10_secrets,
 }
 
