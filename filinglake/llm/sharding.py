@@ -53,11 +53,11 @@ def _allowed(asked: list, free: list[int]) -> list[int]:
     return out
 
 
-def _moved(state: DataFrame, free: list[int], parts: int, anywhere: bool) -> DataFrame:
-    """`state` with the shard each row has after one round, and whether it moved."""
+def _moved(state: DataFrame, free: list[int], parts: int, turn: int) -> DataFrame:
+    """`state` with the shard each row has after one round, and whether it moved; ties fall anew in each round."""
     counts = state.groupBy("group", "shard").agg(F.count(F.lit(1)).alias("n"))
-    rated = F.struct(F.col("n"), F.xxhash64("group", "shard").alias("tie"), F.col("shard"))
-    room = F.lit(True) if anywhere else _of_shard(free, F.col("shard")) > 0
+    rated = F.struct(F.col("n"), F.xxhash64("group", "shard", F.lit(turn)).alias("tie"), F.col("shard"))
+    room = F.lit(True) if turn % 2 else _of_shard(free, F.col("shard")) > 0
     best = counts.groupBy("group").agg(F.max(F.when(room, rated)).alias("best"))
     asked = (
         state.join(counts.withColumn("own", rated).select("group", "shard", "own"), ["group", "shard"])
@@ -76,16 +76,16 @@ def _moved(state: DataFrame, free: list[int], parts: int, anywhere: bool) -> Dat
     return stay.select(*kept).union(let_in.select(*kept))
 
 
-def propagate(linked: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> DataFrame:
+def propagate(linked: DataFrame, quotas: list[int], rounds: int | None = None) -> DataFrame:
     """Rows (with `group` and `doc_id`) and the shard each ends in; no shard gets more than its quota."""
     shards, total = len(quotas), linked.count()
     parts = max(8, total // PART_ROWS)
     dealt = common.ranked(linked, [], ["group", "doc_id"], "rank", parts)
     state = common.land(dealt.withColumn("shard", (F.col("rank") % shards).cast("int")).drop("rank"), "shard-start")
     quiet = 0
-    for turn in range(rounds):
+    for turn in range(ROUNDS if rounds is None else rounds):
         free = [quota - load for quota, load in zip(quotas, _loads(state, shards), strict=True)]
-        after = common.land(_moved(state, free, parts, turn % 2 == 1), f"shard-round{turn}")
+        after = common.land(_moved(state, free, parts, turn), f"shard-round{turn}")
         state = after.drop("moved")
         quiet = quiet + 1 if after.where("moved").isEmpty() else 0
         if quiet == 2:
