@@ -1,16 +1,16 @@
 """Information-theoretic sanitisation, in DataFrame functions only.
 
 Entities are the values of the base patterns (mail address, IP address, card and phone number). Words
-within CONTEXT characters of an entity are its context. Counting different texts, with n of them,
-n(e) holding entity e, n(t) holding term t and n(t, e) holding t in a context of e,
+within CONTEXT characters of an entity are its context. Counting documents, with n of them, n(e)
+holding entity e, n(t) holding term t and n(t, e) holding t in a context of e,
 
     PMI(t; e) = log2(n(t, e) * n / (n(t) * n(e))),   IC(e) = log2(n / n(e)),
 
 so PMI / IC is the share of the entity's information that the term gives away. A term seen with the
-entity in at least SUPPORT texts whose share reaches GENERALISE is replaced by a class word near that
+entity in at least SUPPORT different texts whose share reaches GENERALISE is replaced by a class word near that
 entity; one that gives away everything (share REMOVE) is removed. Terms are counted in all texts.
 
-Defined cases: null counts as empty; copies of a text count once, but each row gets its spans; an entity
+Defined cases: null counts as empty; copies of a text count as documents, but once for SUPPORT; an entity
 that all texts hold has no information and protects no terms; digits after code points beyond the BMP
 keep their places (spans count code points); empty tables give empty results.
 """
@@ -129,30 +129,27 @@ def _contexts(entities: DataFrame) -> DataFrame:
 
 def disclosing(documents: DataFrame, entities: DataFrame) -> DataFrame:
     """(entity, term, share) of the terms that give away at least GENERALISE of an entity's information."""
-    different = entities.select("digest").distinct().count()
-    context = _contexts(entities)
-    joint = context.select("entity", "term", "digest").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    joint = common.land(joint.where(F.col("n_both") >= SUPPORT), "pii-joint")
+    holding = entities.where(F.size("found") > 0)
+    copies = holding.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"))
+    joint = (
+        _contexts(entities)
+        .select("entity", "term", "digest")
+        .distinct()
+        .join(copies, "digest")
+        .groupBy("entity", "term")
+        .agg(F.sum("copies").alias("n_both"), F.count(F.lit(1)).alias("support"))
+    )
+    joint = common.land(joint.where(F.col("support") >= SUPPORT), "pii-joint")
     wanted = joint.select(F.xxhash64("term").alias("t")).distinct()
     if wanted.count() <= BROADCAST_TERMS:
         wanted = F.broadcast(wanted)
     text = F.lower(spans.clean(F.col("text")))
     terms = F.array_distinct(F.transform(F.split(text, r"[^\p{L}]+"), lambda w: F.xxhash64(w)))
-    counted = (
-        documents.select(common.digest(F.col("text")).alias("digest"), F.explode(terms).alias("t"))
-        .join(wanted, "t")
-        .distinct()
-        .groupBy("t")
-        .agg(F.count(F.lit(1)).alias("n_term"))
-    )
-    holders = (
-        entities.where(F.size("found") > 0)
-        .select("digest", F.explode(F.array_distinct(F.transform("found", lambda f: f["entity"]))).alias("entity"))
-        .distinct()
-        .groupBy("entity")
-        .agg(F.count(F.lit(1)).alias("n_entity"))
-    )
-    n = F.lit(float(max(different, 1)))
+    # Summed in each task before anything is shuffled: a row per task and candidate term.
+    counted = documents.select(F.explode(terms).alias("t")).join(wanted, "t").groupBy("t").agg(F.count(F.lit(1)).alias("n_term"))
+    entity = F.explode(F.array_distinct(F.transform("found", lambda f: f["entity"]))).alias("entity")
+    holders = holding.select(entity).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    n = F.lit(float(max(entities.count(), 1)))
     pmi = F.log2(F.col("n_both") * n / (F.col("n_term") * F.col("n_entity")))
     information = F.log2(n / F.col("n_entity"))
     return (
