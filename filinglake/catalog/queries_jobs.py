@@ -361,10 +361,10 @@ _NPORT = """
 
 def _nport(t: Tables, check: bool = False) -> tuple[DataFrame, DataFrame]:
     holdings = tsv.strict_records(
-        t.nport_holding_lines, schemas.MEMBERS_NPORT["FUND_REPORTED_HOLDING.tsv"], first=F.col("ord") == -1, check=check
+        t.nport_holding_lines, schemas.MEMBERS_NPORT["FUND_REPORTED_HOLDING.tsv"], check=check
     )
     identifiers = tsv.strict_records(
-        t.nport_identifier_lines, schemas.MEMBERS_NPORT["IDENTIFIERS.tsv"], first=F.col("ord.f0") == 0, check=check
+        t.nport_identifier_lines, schemas.MEMBERS_NPORT["IDENTIFIERS.tsv"], check=check
     )
     return holdings, identifiers
 

@@ -74,7 +74,7 @@ def s2(t: Tables) -> DataFrame:
 )
 def s3(t: Tables) -> DataFrame:
     rows = tsv.strict_records(
-        t.nport_identifier_lines, schemas.MEMBERS_NPORT["IDENTIFIERS.tsv"], first=F.col("ord.f0") == 0
+        t.nport_identifier_lines, schemas.MEMBERS_NPORT["IDENTIFIERS.tsv"]
     )
     return rows.groupBy("malformed").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("IDENTIFIER_TICKER") != "").alias("tickers")

@@ -6,9 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NEW_YORK = "America/New_York"
-# Fixed value: month abbreviations in data set dates; below each, its number.
-_MONTHS = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
-_NUMBER = "01-02-03-04-05-06-07-08-09-10-11-12-"
 _SEC_SHAPE = r"^[0-9]{1,2}-[A-Za-z]{3}-[0-9]{4}$"
 # Fixed value: availability is strictly after acceptance.
 ACCEPTANCE_DELAY = "interval 60 seconds"
@@ -16,12 +13,7 @@ ACCEPTANCE_DELAY = "interval 60 seconds"
 
 def sec_date(cell: Column) -> Column:
     """A trimmed `31-OCT-2025` as a date; null when blank or not a calendar date."""
-    full = F.lpad(cell, 11, "0")
-    at = F.instr(F.lit(_MONTHS), F.upper(F.substring(full, 4, 3)))
-    iso = F.concat(
-        F.substring(full, 8, 4), F.lit("-"), F.substring(F.lit(_NUMBER), at, F.lit(3)), F.substring(full, 1, 2)
-    )
-    return F.when(cell.rlike(_SEC_SHAPE) & (at % 3 == 1), iso.try_cast("date"))
+    return F.when(cell.rlike(_SEC_SHAPE), F.try_to_date(F.initcap(F.lower(F.replace(cell, F.lit("-"), F.lit(" ")))), "d MMM yyyy"))
 
 
 def sec_date_broken(cell: Column, day: Column) -> Column:

@@ -19,7 +19,7 @@ _SEPARATOR = rf"{SPACE_CLASS}*(?:,|;|&|\bAND\b|{SPACE_CLASS}){SPACE_CLASS}*"
 
 
 def _slash_parts(token: Column) -> Column:
-    """`AA/BB.C` lists two symbols, `AA/B` is one symbol with its class."""
+    """Symbols of a token with slashes: one where exactly two parts end in a class of up to two letters, else each part."""
     parts = F.split(token, "/")
     one_symbol = (F.size(parts) == 2) & (F.length(F.get(parts, F.lit(1))) <= 2)
     return F.when(one_symbol, F.array(token)).otherwise(parts)

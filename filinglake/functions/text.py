@@ -56,12 +56,18 @@ def parse_number(cell: Column) -> Column:
         cell.rlike(_DECIMAL), cell.try_cast("double")
     )
     for radix, shape in _RADIX.items():
-        value = value.when(
-            cell.rlike(shape), F.conv(F.substring(cell, 3, 64), radix, 10).try_cast("double")
-        )
+        value = value.when(cell.rlike(shape), _radix_number(cell, radix))
     return value
 
 
+def _radix_number(cell: Column, radix: int) -> Column:
+    """Digits behind a two-letter prefix, however many: the leading ones that fit 64 bits, scaled by the rest."""
+    fitting = {16: 16, 8: 21, 2: 64}[radix]
+    digits = F.ltrim(F.substr(cell, F.lit(3)), F.lit("0"))
+    head = F.conv(F.concat(F.lit("0"), F.substring(digits, 1, fitting)), radix, 10).try_cast("double")
+    return head * F.pow(F.lit(float(radix)), F.greatest(F.length(digits) - fitting, F.lit(0)))
+
+
 def number_broken(cell: Column, value: Column) -> Column:
     """True where a non-blank trimmed cell gave no finite number."""
     return (cell != "") & (value.isNull() | (F.abs(value) == float("inf")))

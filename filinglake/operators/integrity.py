@@ -311,7 +311,7 @@ def filing_lags(submissions: DataFrame) -> DataFrame:
 
 def archive_label(key: Column, prefix: str) -> Column:
     """The path segment between the raw prefix and the content hash, or null."""
-    rest = F.when(key.startswith(f"{prefix}/"), F.substring(key, len(prefix) + 2, 4096))
+    rest = F.when(key.startswith(f"{prefix}/"), F.substr(key, F.lit(len(prefix) + 2)))
     label = F.when(F.instr(rest, "/") > 0, F.substring_index(rest, "/", 1))
     return F.when((label != "") & (F.instr(label, "..") == 0), label)
 

@@ -22,8 +22,9 @@ def _upsert(existing: DataFrame, incoming: DataFrame, keys: list[str], order: Co
 
 
 def _foreign_sources(df: DataFrame, table: str) -> DataFrame:
-    return df.filter(F.col("availabilitySource") != schemas.SOURCE_13F_DATASET).select(
-        F.array(F.concat(F.lit("unknown source "), F.col("availabilitySource"))).alias("broken"),
+    """Rows whose source is not the data set's; a missing source is foreign too."""
+    return df.filter(~F.col("availabilitySource").eqNullSafe(F.lit(schemas.SOURCE_13F_DATASET))).select(
+        F.array(F.concat(F.lit("unknown source "), F.coalesce("availabilitySource", F.lit("(none)")))).alias("broken"),
         F.concat_ws(" ", F.lit(table), F.col("accession")).alias("sample"),
     )
 
@@ -31,10 +32,10 @@ def _foreign_sources(df: DataFrame, table: str) -> DataFrame:
 def merge_institutional(
     table: str, existing: DataFrame, incoming: DataFrame, order: Column | str
 ) -> Checked:
-    """13F rows after a re-read (G1): same key means the same filing read again.
+    """13F rows with those of a later read put in their place by key (G1).
 
-    `order` is the position within a side; the last of a side wins. Rows of another source are
-    rejects: strict use refuses the merge.
+    `order` is the position within a side; the last of a side wins. Rows of
+    another source, or of none, are rejects: strict use refuses the merge.
     """
     keys = {
         "institutional_filings": ["accession"],
@@ -50,7 +51,9 @@ def _sources(filings: DataFrame, transactions: DataFrame) -> DataFrame:
         transactions.select("accession", "availabilitySource")
     )
     return both.groupBy("accession").agg(
-        F.min("availabilitySource").alias("source"), F.max("availabilitySource").alias("other")
+        F.min("availabilitySource").alias("source"),
+        F.max("availabilitySource").alias("other"),
+        F.bool_or(F.col("availabilitySource").isNull()).alias("missing"),
     )
 
 
@@ -77,7 +80,7 @@ def taken_accessions(
 
 def _source_rejects(side: str, tables: tuple[DataFrame, DataFrame]) -> DataFrame:
     mixed = F.col("source") != F.col("other")
-    unknown = _rank(F.col("source")).isNull() | _rank(F.col("other")).isNull()
+    unknown = F.col("missing") | _rank(F.col("source")).isNull() | _rank(F.col("other")).isNull()
     return (
         _sources(*tables)
         .filter(mixed | unknown)

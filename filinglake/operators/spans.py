@@ -1,10 +1,10 @@
 """Tickers by CUSIP and date: the first span that covers the day wins.
 
-Spans come in the order of trust (`ord`). A CUSIP usually has one to a few spans, so those are
-packed into one row per CUSIP, at most `WIDE` entries long, and the holdings join that row on
-CUSIP alone: no row is multiplied. A CUSIP with more spans takes the second, equally exact way: its spans are cut into aligned power-of-two blocks of days, and each distinct
-(CUSIP, day) among the holdings looks up the blocks that contain it. Neither way gathers a
-group or pairs every span with every row.
+Spans come in the order of trust (`ord`). Days are numbered, and the days of a span are cut into aligned
+blocks of 1, 16, 256 ... days, the largest that fit; each block keeps the best span over it. A day lies in
+one block of each size, so every distinct (CUSIP, day) among the holdings looks up a handful of blocks,
+however many spans its CUSIP has, and the answer is joined back once. Nothing gathers a group or pairs every
+span with every row.
 """
 
 from __future__ import annotations
@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from filinglake.functions import dates, text
 
-WIDE = 16
-# Days are numbered within 2**17 (some 359 years) from the first day; open ends are its edges.
-_LEVELS = 17
-_FIRST_DAY = "1850-01-01"
-_LAST = 2**_LEVELS - 1
+# Days are numbered from the first day of the calendar; 16 ** 6 days reach past the year 45,000.
+_FIRST_DAY = "0001-01-01"
+_BASE, _LEVELS = 16, 6
+_LAST = _BASE**_LEVELS - 1
+# One block above all others says that a CUSIP has spans at all.
+_KNOWN = _LEVELS + 1
 
 
 def _clean_spans(spans: DataFrame) -> DataFrame:
@@ -33,121 +34,89 @@ def _clean_spans(spans: DataFrame) -> DataFrame:
     ).filter((c("cusip") != "") & c("ticker").isNotNull())
 
 
-def _covers(span: Column, day: Column) -> Column:
-    return F.coalesce(span["fromDate"] <= day, F.lit(True)) & F.coalesce(
-        span["toDate"] >= day, F.lit(True)
-    )
-
-
 def _day_number(day: Column) -> Column:
-    return F.least(
-        F.greatest(F.datediff(day, F.lit(_FIRST_DAY).cast("date")), F.lit(0)), F.lit(_LAST)
-    )
+    return F.datediff(day, F.lit(_FIRST_DAY).cast("date")).cast("long")
 
 
-def _blocks(df: DataFrame) -> DataFrame:
-    """`df` with `low` and `high`, once per aligned block (level, block) that makes up the range.
+def _blocks(ranges: DataFrame) -> DataFrame:
+    """`ranges` without `low` and `high`, once per aligned block (level, block) that makes up the range.
 
-    On each level only the first and the last block inside the range can lie outside a larger
-    one, so a range has at most two blocks a level.
+    On each level only blocks next to an end of the range can lie outside a larger one inside it: at most
+    BASE - 1 at either end.
     """
     c = F.col
-    levels = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(_LEVELS))).alias("level"))
-    sized = levels.withColumn("_size", F.pow(F.lit(2), c("level")).cast("long")).select(
+    sized = ranges.select("*", F.explode(F.sequence(F.lit(0), F.lit(_LEVELS))).alias("level")).select(
+        "*", F.pow(F.lit(_BASE), c("level")).cast("long").alias("_size")
+    )
+    ends = sized.select(
         "*",
         F.ceil(c("low") / c("_size")).cast("long").alias("_first"),
         (F.floor((c("high") + 1) / c("_size")) - 1).cast("long").alias("_last"),
+    ).filter(c("_first") <= c("_last"))
+    near = F.array_union(
+        F.sequence(c("_first"), F.least(c("_last"), c("_first") + (_BASE - 2))),
+        F.sequence(F.greatest(c("_first"), c("_last") - (_BASE - 2)), c("_last")),
     )
-    ends = sized.filter(c("_first") <= c("_last")).select(
-        "*", F.explode(F.array_distinct(F.array("_first", "_last"))).alias("block")
-    )
-    parent = F.floor(c("block") / 2)
-    covered = (
+    parent = F.floor(c("block") / _BASE)
+    inside = (
         (c("level") < _LEVELS)
-        & (parent * 2 * c("_size") >= c("low"))
-        & ((parent + 1) * 2 * c("_size") - 1 <= c("high"))
+        & (parent * _BASE * c("_size") >= c("low"))
+        & ((parent + 1) * _BASE * c("_size") - 1 <= c("high"))
     )
-    return ends.filter(~covered).drop("_size", "_first", "_last")
-
-
-def _ancestors(df: DataFrame) -> DataFrame:
-    """`df` with `number`, once per block (level, block) that contains the day."""
-    c = F.col
-    levels = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(_LEVELS))).alias("level"))
-    return levels.withColumn("block", F.floor(c("number") / F.pow(F.lit(2), c("level"))).cast("long"))
+    cut = ends.select("*", F.explode(near).alias("block")).filter(~inside)
+    return cut.drop("_size", "_first", "_last", "low", "high")
 
 
-def _tickers_of_wide(wide: DataFrame, days: DataFrame) -> DataFrame:
-    """(cusip, day, ticker) for distinct days of CUSIPs with many spans."""
+def _nodes(spans: DataFrame) -> DataFrame:
+    """(cusip, level, block, best): the span first in order over each block; of equal orders the first ticker."""
     c = F.col
-    low = F.when(c("fromDate").isNull(), F.lit(0)).otherwise(_day_number(c("fromDate")))
-    high = F.when(c("toDate").isNull(), F.lit(_LAST)).otherwise(_day_number(c("toDate")))
-    # Only the order travels through the lookups, as a number; the ticker is fetched at the end.
-    nodes = (
-        _blocks(wide.select("cusip", "ord", low.alias("low"), high.alias("high")))
-        .groupBy("cusip", "level", "block")
-        .agg(F.min("ord").alias("ord"))
-    )
-    asked = _ancestors(days.select("cusip", "day", _day_number(c("day")).alias("number")))
-    best = (
-        asked.join(nodes, ["cusip", "level", "block"])
-        .groupBy("cusip", "day")
-        .agg(F.min("ord").alias("ord"))
+    best = F.struct("ord", "ticker").alias("best")
+    low = F.coalesce(_day_number(c("fromDate")), F.lit(0))
+    high = F.coalesce(_day_number(c("toDate")), F.lit(_LAST))
+    clean = _clean_spans(spans)
+    cut = _blocks(clean.select("cusip", best, low.cast("long").alias("low"), high.cast("long").alias("high")))
+    known = clean.select(
+        "cusip", F.lit(None).cast(cut.schema["best"].dataType).alias("best"), F.lit(_KNOWN).alias("level"), F.lit(0).cast("long").alias("block")
     )
-    tickers = wide.groupBy("cusip", "ord").agg(F.min("ticker").alias("ticker"))
-    return best.join(tickers, ["cusip", "ord"]).select("cusip", "day", "ticker")
+    return cut.unionByName(known).groupBy("cusip", "level", "block").agg(F.min("best").alias("best"))
 
 
-def _matched(holdings: DataFrame, spans: DataFrame, wide_from: int) -> DataFrame:
-    """Holdings plus `_ticker` (null when none) and `_known` (the CUSIP has spans)."""
+def _matched(holdings: DataFrame, spans: DataFrame) -> DataFrame:
+    """Holdings plus `_cusip`, `_ticker` (null when none) and `_known` (the CUSIP has spans)."""
     c = F.col
-    clean = _clean_spans(spans)
-    sizes = clean.groupBy("cusip").agg(F.count(F.lit(1)).alias("_n"))
-    sized = clean.join(sizes, "cusip")
-    packed = (
-        sized.filter(c("_n") <= wide_from)
-        .groupBy("cusip")
-        .agg(F.sort_array(F.collect_list(F.struct("ord", "fromDate", "toDate", "ticker"))).alias("_spans"))
-        .withColumnRenamed("cusip", "_cusip")
-    )
-    wide = sized.filter(c("_n") > wide_from).drop("_n")
     keyed = holdings.select(
         "*",
         F.upper(text.trimmed(c("cusip"))).alias("_cusip"),
         dates.utc_day(c("availableAt")).alias("_day"),
     )
-    wide_keys = wide.select("cusip").distinct()
-    days = (
-        keyed.select(c("_cusip").alias("cusip"), c("_day").alias("day"))
-        .distinct()
-        .join(wide_keys, "cusip", "left_semi")
-    )
-    of_wide = _tickers_of_wide(wide, days).select(
-        c("cusip").alias("_cusip"), c("day").alias("_day"), c("ticker").alias("_wide_ticker")
+    days = keyed.select(c("_cusip").alias("cusip"), c("_day").alias("day")).filter("cusip IS NOT NULL").distinct()
+    asked = days.select(
+        "*", _day_number(c("day")).alias("_number"), F.explode(F.sequence(F.lit(0), F.lit(_KNOWN))).alias("level")
+    ).select("cusip", "day", "level", F.when(c("level") == _KNOWN, 0).otherwise(F.floor(c("_number") / F.pow(F.lit(_BASE), c("level")))).cast("long").alias("block"))
+    found = (
+        asked.join(_nodes(spans), ["cusip", "level", "block"])
+        .groupBy("cusip", "day")
+        .agg(F.min("best").alias("best"))
+        .select(c("cusip").alias("_cusip"), c("day").alias("_day"), c("best.ticker").alias("_ticker"), F.lit(True).alias("_known"))
     )
-    wide_mark = wide_keys.select(c("cusip").alias("_cusip"), F.lit(True).alias("_wide"))
-    first = F.get(F.filter(c("_spans"), lambda s: _covers(s, c("_day"))), F.lit(0))
-    return (
-        keyed.join(packed, "_cusip", "left")
-        .join(wide_mark, "_cusip", "left")
-        .join(of_wide, ["_cusip", "_day"], "left")
-        .select(
-            *[keyed[name] for name in holdings.columns],
-            "_cusip",
-            F.coalesce(first["ticker"], c("_wide_ticker")).alias("_ticker"),
-            (c("_spans").isNotNull() | c("_wide").isNotNull()).alias("_known"),
-        )
+    # A holding without a day has no ticker, but its CUSIP may be known.
+    joined = keyed.join(found, (keyed["_cusip"] == found["_cusip"]) & keyed["_day"].eqNullSafe(found["_day"]), "left")
+    return joined.select(
+        *[keyed[name] for name in holdings.columns],
+        keyed["_cusip"],
+        found["_ticker"],
+        F.coalesce(found["_known"], F.lit(False)).alias("_known"),
     )
 
 
-def resolve_tickers(holdings: DataFrame, spans: DataFrame, wide_from: int = WIDE) -> DataFrame:
+def resolve_tickers(holdings: DataFrame, spans: DataFrame) -> DataFrame:
     """Holdings with `resolvedTicker` as traded on each row's own UTC day.
 
     The day is the UTC day of `availableAt`, so a filing dated on a span's last day, which
     becomes available after midnight UTC, takes the span of the next day. Rows no span covers
     get null, also where an earlier pass had left a ticker.
     """
-    matched = _matched(holdings, spans, wide_from)
+    matched = _matched(holdings, spans)
     return matched.select(
         *[
             F.col("_ticker").alias(name) if name == "resolvedTicker" else F.col(name)
@@ -156,10 +125,10 @@ def resolve_tickers(holdings: DataFrame, spans: DataFrame, wide_from: int = WIDE
     )
 
 
-def ticker_report(holdings: DataFrame, spans: DataFrame, wide_from: int = WIDE) -> DataFrame:
+def ticker_report(holdings: DataFrame, spans: DataFrame) -> DataFrame:
     """One row: resolved, unresolved, rows outside every span, distinct CUSIPs without spans."""
     c = F.col
-    matched = _matched(holdings.select("cusip", "availableAt"), spans, wide_from)
+    matched = _matched(holdings.select("cusip", "availableAt"), spans)
     # One row per CUSIP before the last step, so distinct CUSIPs need no further shuffle of rows.
     per_cusip = matched.groupBy("_cusip").agg(
         F.count_if(c("_ticker").isNotNull()).alias("resolved"),

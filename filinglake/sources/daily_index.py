@@ -32,7 +32,7 @@ def read_index(lines: DataFrame) -> Checked:
         F.min(F.when(c("line").rlike(SEPARATOR), c("ord"))).alias("_at")
     )
     body = (
-        lines.join(F.broadcast(separators.filter(c("_at").isNotNull())), "archive_key")
+        lines.join(separators.filter(c("_at").isNotNull()), "archive_key")
         .filter((c("ord") > c("_at")) & (trimmed(c("line")) != ""))
         .select(
             "archive_key",

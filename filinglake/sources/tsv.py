@@ -61,15 +61,17 @@ def _headers(lines: DataFrame, first: Column | None) -> DataFrame:
 def _check_headers(headers: DataFrame, required: Sequence[str], member: str) -> None:
     """Raise when a file lacks a required column. Reads one row per file."""
     missing = F.array_except(F.array(*[F.lit(name) for name in required]), F.col("_header"))
-    bad = headers.filter(F.size(missing) > 0).select("archive_key", missing.alias("missing")).limit(3).collect()
-    if bad:
-        detail = "; ".join(f"{r.archive_key} lacks {', '.join(r.missing)}" for r in bad)
-        raise BrokenRows(f"{member}: {detail}")
+    bad = headers.filter(F.size(missing) > 0).select("archive_key", missing.alias("missing"))
+    count = bad.count()
+    if count:
+        sample = bad.orderBy("archive_key").limit(3).collect()
+        detail = "; ".join(f"{r.archive_key} lacks {', '.join(r.missing)}" for r in sample)
+        raise BrokenRows(f"{member}: {count} file(s) lack columns, e.g. {detail}")
 
 
 def _with_header(lines: DataFrame, headers: DataFrame) -> DataFrame:
-    # One row per input file: bounded by the file listing the driver already holds.
-    joined = lines.join(F.broadcast(headers), "archive_key")
+    # One row per file: adaptive execution broadcasts it while it is small.
+    joined = lines.join(headers, "archive_key")
     return joined.filter(F.col("ord") > F.col("_at"))
 
 
@@ -112,16 +114,15 @@ def records(
 def strict_records(
     lines: DataFrame,
     columns: Sequence[str],
-    first: Column | None = None,
     check: bool = True,
     member: str = "member",
 ) -> DataFrame:
     """Rows by column name plus `malformed`: the line is not as wide as its header (S3).
 
-    A tab inside a cell shifts every later cell, so such a row is kept for counting but its
+    The header is a file's first line that is not empty. A tab inside a cell shifts every later cell, so such a row is kept for counting but its
     cells are null. Empty lines are skipped; of two columns with one name the first counts.
     """
-    headers = _headers(lines, first)
+    headers = _headers(lines.filter(F.col("line") != ""), None)
     if check:
         _check_headers(headers, columns, member)
     at = [(F.array_position("_header", name) - 1).cast("int").alias(f"_at_{name}") for name in columns]

@@ -97,3 +97,21 @@ def test_shard_is_the_utc_year(values):
     found = values(lambda x: dates.available_year(dates.end_of_day_new_york(x.cast("date"))), ["2025-12-31", "2025-12-30"])
     assert found == [2026, 2025]
     assert values(lambda x: dates.utc_day(F.to_timestamp(x)).cast("string"), ["2026-04-01 03:59:59"]) == ["2026-04-01"]
+
+
+def test_radix_numbers_of_any_length(values):
+    from filinglake.functions import text
+
+    cells = ["0xff", "0x" + "0" * 80 + "1", "0x" + "F" * 20, "0b" + "1" * 70, "0o7", "0x" + "f" * 400, "0X"]
+    found = values(text.parse_number, cells)
+    assert found[:2] == [255.0, 1.0] and found[4] == 7.0 and found[6] is None
+    assert abs(found[2] / (2.0**80) - 1) < 1e-15 and abs(found[3] / 2.0**70 - 1) < 1e-15
+    assert found[5] == float("inf")
+    assert values(text.number, cells)[5] is None
+
+
+def test_dates_with_months_in_any_case(values):
+    from filinglake.functions import dates
+
+    found = values(dates.sec_date, ["31-OCT-2025", "1-jan-2024", "29-Feb-2023", "31-ABC-2024", "1-13-2024", "", None, "29-feb-2024"])
+    assert [str(d) if d else None for d in found] == ["2025-10-31", "2024-01-01", None, None, None, None, None, "2024-02-29"]

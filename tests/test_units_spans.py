@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from rows import table
 
 from filinglake.operators import quantiles, spans, units
@@ -100,15 +101,14 @@ D = dt.date
 RENAMED = [("30303M102", "FB", D(2012, 5, 18), D(2022, 6, 8)), ("30303M102", "META", D(2022, 6, 9), None)]
 
 
-@pytest.mark.parametrize("wide_from", [16, 0])
-def test_span_of_the_rows_own_day(spark, wide_from):
+def test_span_of_the_rows_own_day(spark):
     h = held(spark, ("30303M102", "2013-08-14"), (" 30303m102 ", "2024-02-14"), ("30303M102", "2010-01-04"), ("999", "2020-01-01"),
              ("30303M102", "2022-06-09T03:59:59.999"))
     s = span_table(spark, RENAMED)
-    found = spans.resolve_tickers(h, s, wide_from).orderBy("infoTableSk").collect()
+    found = spans.resolve_tickers(h, s).orderBy("infoTableSk").collect()
     # The last row is filed on FB's last day and known after midnight UTC: the next span's day.
     assert [r.resolvedTicker for r in found] == ["FB", "META", None, None, "META"]
-    report = spans.ticker_report(h, s, wide_from).first().asDict()
+    report = spans.ticker_report(h, s).first().asDict()
     assert report == {"resolved": 3, "unresolved": 2, "unresolvedCusips": 1, "outsideEverySpan": 1}
 
 
@@ -117,8 +117,31 @@ def test_first_span_wins_case_is_kept_and_blanks_do_not_count(spark):
     assert [r.resolvedTicker for r in spans.resolve_tickers(held(spark, ("x1", "2020-01-01")), s).collect()] == ["MTLp"]
 
 
-@pytest.mark.parametrize("wide_from", [0, 3, 1000])
-def test_both_ways_agree_with_brute_force(spark, wide_from):
+@pytest.mark.parametrize("number", [1, 16, 17, 500])
+def test_any_number_of_spans_with_shared_orders_and_far_days(spark, number):
+    random.seed(number)
+    days = [D(1, 1, 1), D(1600, 2, 29), D(1849, 12, 31), D(1850, 1, 1), D(2000, 1, 1), D(2208, 11, 1), D(2301, 6, 1), D(9000, 1, 1)]
+
+    def near():
+        return random.choice(days) + dt.timedelta(days=random.randint(0, 400))
+
+    rows = []
+    for n in range(number):
+        ends = sorted((near(), near()))
+        rows.append(("C", f"T{n:03}", random.choice([None, ends[0]]), random.choice([None, ends[1]]), random.randint(0, 5)))
+    s = spark.createDataFrame(rows, "cusip STRING, ticker STRING, fromDate DATE, toDate DATE, ord LONG")
+    asked = [near() for _ in range(60)]
+    want = []
+    for at in asked:
+        hits = [(o, t) for _, t, lo, hi, o in rows if (lo is None or lo <= at) and (hi is None or at <= hi)]
+        want.append(min(hits)[1] if hits else None)
+    own_day = F.element_at(F.array(*[F.lit(day.isoformat()).cast("timestamp") for day in asked]), F.col("infoTableSk").cast("int") + 1)
+    h = held(spark, *[("C", "2020-01-01") for _ in asked]).withColumn("availableAt", own_day)
+    found = spans.resolve_tickers(h, s).select("infoTableSk", "resolvedTicker").collect()
+    assert {int(r.infoTableSk): r.resolvedTicker for r in found} == dict(enumerate(want))
+
+
+def test_spans_agree_with_brute_force(spark):
     random.seed(9)
     start = D(2015, 1, 1)
     rows = []
@@ -132,5 +155,5 @@ def test_both_ways_agree_with_brute_force(spark, wide_from):
         at = D.fromisoformat(day)
         hit = [t for c, t, lo, hi in rows if c == cusip and (lo is None or lo <= at) and (hi is None or at <= hi)]
         want.append(hit[0] if hit else None)
-    found = spans.resolve_tickers(held(spark, *asked), span_table(spark, rows), wide_from).collect()
+    found = spans.resolve_tickers(held(spark, *asked), span_table(spark, rows)).collect()
     assert {int(r.infoTableSk): r.resolvedTicker for r in found} == dict(enumerate(want))
