@@ -23,13 +23,17 @@ from filinglake.llm import common, spans
 
 @dataclass(frozen=True)
 class Rule:
-    """`base` rules are those of the contract; a match must have `least` characters (or its group 1, if `group`)."""
+    """`base` rules are those of the contract; a match must have `least` characters (or its group 1, if `group`).
+
+    `search`, where given, finds the matches of `pattern` that have the least length and no others.
+    """
 
     kind: str
     pattern: str
     least: int = 0
     group: bool = False
     base: bool = False
+    search: str | None = None
 
 
 # Fixed patterns: the contract's three, then public formats of well-known credentials.
@@ -40,7 +44,8 @@ RULES = [
         least=12, group=True, base=True,
     ),
     Rule("access", r"AKIA[A-Z0-9]+", least=18, base=True),
-    Rule("hex", r"[0-9a-f]+", least=16, base=True),
+    # A whole run of a class matches, so short runs need not be matched first and dropped then.
+    Rule("hex", r"[0-9a-f]+", least=16, base=True, search=r"[0-9a-f]{16,}"),
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
@@ -141,8 +146,11 @@ def _rows(documents: DataFrame) -> DataFrame:
 
 def postings(documents: DataFrame, grams: list[str]) -> DataFrame:
     """The inverted index: (gram, digest) for each trigram of a query and each different text with it."""
-    lowered = F.lower(F.col("text"))
-    held = F.array_compact(F.array(*[F.when(F.contains(lowered, F.lit(g)), F.lit(g)) for g in grams]))
+
+    def found(lowered: Column) -> Column:
+        return F.array_compact(F.array(*[F.when(F.contains(lowered, F.lit(g)), F.lit(g)) for g in grams]))
+
+    held = spans.let(F.lower(F.col("text")), found)
     return _rows(documents).select(F.explode(held).alias("gram"), "digest").distinct()
 
 
@@ -160,9 +168,8 @@ def candidates(index: DataFrame, queries: dict[str, Query]) -> DataFrame:
     return grams.select("digest", rules.alias("rules")).where(F.size("rules") > 0)
 
 
-def _found(rule: Rule, order: int, possible: Column) -> Column:
+def _found(text: Column, rule: Rule, order: int, possible: Column) -> Column:
     """Verified spans of a rule as (start, order, end, kind)."""
-    text = F.col("text")
 
     def enough(s: Column) -> Column:
         value = F.regexp_extract(s["value"], rule.pattern, 1) if rule.group else s["value"]
@@ -171,7 +178,7 @@ def _found(rule: Rule, order: int, possible: Column) -> Column:
     def span(s: Column) -> Column:
         return F.struct(s["start"].alias("start"), F.lit(order).alias("order"), s["end"].alias("end"), F.lit(rule.kind).alias("kind"))
 
-    return F.transform(F.filter(spans.matches(text, rule.pattern, possible), enough), span)
+    return F.transform(F.filter(spans.matches(text, rule.search or rule.pattern, possible), enough), span)
 
 
 def found_spans(documents: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
@@ -186,13 +193,17 @@ def found_spans(documents: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
         stand_in = F.lit(-(2**63))
         keyed = lambda df: df.withColumn("__id", F.coalesce("doc_id", stand_in))
         rows = keyed(rows).join(keyed(held).drop("doc_id"), ["__id", "digest"], "left").drop("__id")
-    parts = []
-    for order, rule in enumerate(rules):
-        possible = F.coalesce(F.array_contains("rules", rule.kind), F.lit(False)) if rule.kind in indexed else F.lit(True)
-        if not queries[rule.kind]:  # scans fully; a run of the least length must exist
-            possible = F.col("text").rlike(re.sub(r"\+$", f"{{{rule.least},}}", rule.pattern)) if rule.least else possible
-        parts.append(_found(rule, order, possible))
-    return rows.select("doc_id", F.array_sort(F.concat(*parts)).alias("spans"))
+
+    def verified(text: Column) -> Column:
+        parts = []
+        for order, rule in enumerate(rules):
+            possible = F.lit(True)
+            if rule.kind in indexed:
+                possible = F.coalesce(F.array_contains("rules", rule.kind), F.lit(False))
+            parts.append(_found(text, rule, order, possible))
+        return F.array_sort(F.concat(*parts))
+
+    return rows.select("doc_id", spans.let(F.col("text"), verified).alias("spans"))
 
 
 def secrets(documents: DataFrame, rules: list[Rule] = RULES) -> DataFrame:

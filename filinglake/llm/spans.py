@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,8 +13,15 @@ SPAN = "ARRAY<STRUCT<start: INT, end: INT, value: STRING>>"
 
 
 def clean(text: Column) -> Column:
-    """The text, null as empty, as long as before and free of the marks."""
-    return F.translate(F.coalesce(text, F.lit("")), _OPEN + _CLOSE, _OTHER + _OTHER)
+    """The text, null as empty, as long as before and free of the marks. Few texts hold any to translate."""
+    full = F.coalesce(text, F.lit(""))
+    marked = F.contains(full, F.lit(_OPEN)) | F.contains(full, F.lit(_CLOSE))
+    return F.when(marked, F.translate(full, _OPEN + _CLOSE, _OTHER + _OTHER)).otherwise(full)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often `body` uses it."""
+    return F.transform(F.array(value), body)[0]
 
 
 def matches(text: Column, pattern: str, guard: Column | None = None) -> Column:
