@@ -89,7 +89,7 @@ def _context(text: Column, span: Column) -> Column:
     return F.concat(moved(left, low), moved(right, span["end"]))
 
 
-def _described(kind: str, order: int):
+def _described(text: Column, kind: str, order: int):
     """Turns a span of a kind into (order, start, end, kind, entity, context)."""
 
     def one(s: Column) -> Column:
@@ -100,7 +100,7 @@ def _described(kind: str, order: int):
             s["end"].alias("end"),
             F.lit(kind).alias("kind"),
             F.concat(F.lit(f"{kind}:"), value).alias("entity"),
-            _context(F.col("text"), s).alias("context"),
+            _context(text, s).alias("context"),
         )
 
     return one
@@ -112,11 +112,17 @@ def _number(array: Column, kind: str) -> Column:
 
 def _entities(documents: DataFrame) -> DataFrame:
     """doc_id, digest and found (kind, order, start, end, entity, context) of every row; written once, without texts."""
-    rows = documents.select(F.col("doc_id").cast("long"), spans.clean(F.col("text")).alias("text"), common.digest(F.col("text")).alias("digest"))
-    for kind in KINDS:
-        rows = rows.withColumn(kind, base_spans(F.col("text"))[kind])
-    every = [F.transform(F.col(kind), _described(kind, order)) for order, kind in enumerate(KINDS)]
-    return common.land(rows.select("doc_id", "digest", F.concat(*every).alias("found")), "pii-entities")
+
+    def found(text: Column) -> Column:
+        own = base_spans(text)
+        return F.concat(*[F.transform(own[kind], _described(text, kind, order)) for order, kind in enumerate(KINDS)])
+
+    rows = documents.select(
+        F.col("doc_id").cast("long"),
+        common.digest(F.col("text")).alias("digest"),
+        spans.let(spans.clean(F.col("text")), found).alias("found"),
+    )
+    return common.land(rows, "pii-entities")
 
 
 def _contexts(entities: DataFrame) -> DataFrame:
