@@ -199,8 +199,24 @@ def _fact_rules(member: str) -> dict[str, Column]:
     }
 
 
+def submission_rejects(submission: DataFrame) -> DataFrame:
+    """Submission rows that lack or break a field, whether or not an owner or a leg refers to them."""
+    c = F.col
+    rows = _keyed(submission)
+    rules = {
+        "SUBMISSION ACCESSION_NUMBER": c("accession").isNull(),
+        "SUBMISSION FILING_DATE": dates.sec_date(c("FILING_DATE")).isNull(),
+        "SUBMISSION DOCUMENT_TYPE": text.present(c("DOCUMENT_TYPE")).isNull(),
+        "SUBMISSION ISSUERCIK": text.present(c("ISSUERCIK")).isNull(),
+    }
+    return split_broken("submission", rows, rules, {"accession": c("accession")}, F.coalesce("accession", F.lit("(none)"))).rejects
+
+
 def filings_insider(submission: DataFrame, owners: DataFrame) -> Checked:
-    """Insider filings: one row per accession and reporting owner."""
+    """Insider filings: one row per accession and reporting owner.
+
+    Rejects name every broken submission row as well as every broken owner row.
+    """
     c = F.col
     joined = _keyed(owners).join(_submission_facts(submission), KEY, "left")
     relation = c("RPTOWNER_RELATIONSHIP")
@@ -227,7 +243,8 @@ def filings_insider(submission: DataFrame, owners: DataFrame) -> Checked:
         "SUBMISSION DATE_OF_ORIG_SUB": c("original_broken"),
         "REPORTINGOWNER RPTOWNERCIK": typed("ownerCik").isNull(),
     }
-    return split_broken("insider_filings", joined, rules, columns, c("accession"))
+    found = split_broken("insider_filings", joined, rules, columns, c("accession"))
+    return Checked(found.table, found.rows, submission_rejects(submission).unionByName(found.rejects))
 
 
 # Raw header to lake column, by kind of cell. Data set spelling kept.
@@ -297,7 +314,8 @@ def transactions_insider(submission: DataFrame, nonderiv: DataFrame, deriv: Data
         **{f"transaction {raw}": text.number_broken(c(raw), typed(name)) for name, raw in numbers.items()},
     }
     where = F.concat_ws("/", c("accession"), c("row_kind"), c("row_sk"))
-    return split_broken("insider_transactions", joined, rules, columns, where)
+    found = split_broken("insider_transactions", joined, rules, columns, where)
+    return Checked(found.table, found.rows, submission_rejects(submission).unionByName(found.rejects))
 
 
 def with_resolved_ticker(df: DataFrame, source: str, target: str = "resolvedTicker") -> DataFrame:

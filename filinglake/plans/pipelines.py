@@ -84,25 +84,29 @@ def refresh_insider(
     """Merge new insider rows into the lake; returns the years rewritten.
 
     Both tables' rows are staged before either is published, so the second merge still sees the
-    first table as it was.
+    first table as it was. Filings are published last: an accession they hold is complete, so a run
+    that stops in between is done again by the next one, and replaces its own rows.
     """
     scratch: list[str] = []
-    incoming = tuple(_landed(spark, df, name, scratch) for name, df in zip(_INSIDER, (filings, transactions)))
-    held = tuple(lake.read_table(spark, name, root) for name in _INSIDER)
-    taken = _landed(spark, merge.taken_accessions(held, incoming), "taken", scratch)
-    ranked = merge.merge_insider(tuple(old.drop(lake.SHARD) for old in held), incoming)
-    ranked[0].strict()  # refuse the merge before anything is written
-    staged = []
-    for table, old, new in zip(_INSIDER, held, incoming):
-        found = merge.affected_years(old, new, taken).collect()  # one row per year
-        years = sorted(r.availableYear for r in found)
-        kept = old.filter(F.col(lake.SHARD).isin(years)).drop(lake.SHARD).join(taken, "accession", "left_anti")
-        fresh = new.join(taken, "accession", "left_semi")
-        rows = kept.unionByName(fresh.select(*kept.columns))
-        staged.append((table, lake.stage(spark, rows, table), years))
-    for table, path, years in staged:
-        lake.publish_stage(spark, path, table, root, years)
-    lake.remove(spark, scratch)
+    try:
+        incoming = tuple(_landed(spark, df, name, scratch) for name, df in zip(_INSIDER, (filings, transactions)))
+        held = tuple(lake.read_table(spark, name, root) for name in _INSIDER)
+        taken = _landed(spark, merge.taken_accessions(held, incoming), "taken", scratch)
+        ranked = merge.merge_insider(tuple(old.drop(lake.SHARD) for old in held), incoming)
+        ranked[0].strict()  # refuse the merge before anything is written
+        staged = []
+        for table, old, new in zip(_INSIDER, held, incoming):
+            found = merge.affected_years(old, new, taken).collect()  # one row per year
+            years = sorted(r.availableYear for r in found)
+            kept = old.filter(F.col(lake.SHARD).isin(years)).drop(lake.SHARD).join(taken, "accession", "left_anti")
+            fresh = new.join(taken, "accession", "left_semi")
+            rows = kept.unionByName(fresh.select(*kept.columns))
+            staged.append((table, lake.stage(spark, rows, table), years))
+            scratch.append(staged[-1][1])
+        for table, path, years in reversed(staged):
+            lake.publish_stage(spark, path, table, root, years)
+    finally:
+        lake.remove(spark, scratch)
     return sorted({year for _, _, years in staged for year in years})
 
 
@@ -111,18 +115,23 @@ def refresh_institutional(
 ) -> list[int]:
     """Upsert re-read 13F windows into the lake; returns the years rewritten.
 
-    `order` is the rows' position in their archive: of two rows with one key the last stands.
+    `order` is the rows' position in their archive: of two rows with one key the last stands. Both
+    tables are checked and staged before either is published, so a refused row leaves the lake as it was.
     """
-    rewritten, scratch = set(), []
-    for table, rows in (("institutional_filings", filings), ("institutional_holdings", holdings)):
-        new = _landed(spark, rows, table, scratch)
-        old = lake.read_table(spark, table, root)
-        found = merge.affected_years(old, new).collect()  # one row per year
-        years = sorted(r.availableYear for r in found)
-        held = old.filter(F.col(lake.SHARD).isin(years)).drop(lake.SHARD)
-        placed = held.withColumn(order, F.lit(None).cast(new.schema[order].dataType))
-        merged = merge.merge_institutional(table, placed, new, order).strict().drop(order)
-        lake.replace_years(spark, merged, table, root, years)
-        rewritten.update(years)
-    lake.remove(spark, scratch)
-    return sorted(rewritten)
+    staged, scratch = [], []
+    try:
+        for table, rows in (("institutional_filings", filings), ("institutional_holdings", holdings)):
+            new = _landed(spark, rows, table, scratch)
+            old = lake.read_table(spark, table, root)
+            found = merge.affected_years(old, new).collect()  # one row per year
+            years = sorted(r.availableYear for r in found)
+            held = old.filter(F.col(lake.SHARD).isin(years)).drop(lake.SHARD)
+            placed = held.withColumn(order, F.lit(None).cast(new.schema[order].dataType))
+            merged = merge.merge_institutional(table, placed, new, order).strict().drop(order)
+            staged.append((table, lake.stage(spark, merged, table), years))
+            scratch.append(staged[-1][1])
+        for table, path, years in staged:
+            lake.publish_stage(spark, path, table, root, years)
+    finally:
+        lake.remove(spark, scratch)
+    return sorted({year for _, _, years in staged for year in years})

@@ -42,26 +42,22 @@ def pending_entries(entries: DataFrame, known: DataFrame, order: str) -> DataFra
     return incremental.unknown_entries(chosen, known)
 
 
-def one_document_per_accession(documents: DataFrame) -> DataFrame:
-    """The first landed copy of each submission; copies are reduced before the shuffle."""
-    accession = F.regexp_extract("raw", r"(?m)^ACCESSION NUMBER:\s*(\S+)", 1)
-    # A document without an accession stands for itself: it must reach the rejects.
-    key = F.when(accession != "", accession).otherwise(F.col("archive_key"))
-    kept = (
-        documents.select("archive_key", key.alias("key"))
-        .groupBy("key")
-        .agg(F.min("archive_key").alias("archive_key"))
-    )
-    return documents.join(kept.select("archive_key"), "archive_key", "left_semi")
+def first_good_copies(rows: DataFrame, filings: DataFrame) -> DataFrame:
+    """`rows` of the first landed copy of each accession that could be parsed."""
+    first = filings.groupBy("accession").agg(F.min("rawArchiveKey").alias("rawArchiveKey"))
+    return rows.join(first, ["accession", "rawArchiveKey"], "left_semi")
 
 
 def ingest(spark: SparkSession, documents: DataFrame, paths: RefreshPaths) -> DataFrame:
-    """Parse documents (archive_key, raw), merge the new ones, return the rejects."""
-    parsed = submissions.parse_submissions(one_document_per_accession(documents))
-    # Known from either source.
+    """Parse documents (archive_key, raw), merge the new ones, return every unparsed copy.
+
+    Known are accessions in the filings of the lake, which a merge publishes last.
+    """
+    parsed = submissions.parse_submissions(documents)
     known = lake.read_table(spark, "insider_filings", paths.lake).select("accession")
-    filings = incremental.unknown_entries(parsed.filings, known)
-    transactions = incremental.unknown_entries(parsed.transactions, known)
+    new = incremental.unknown_entries(parsed.filings, known)
+    filings = first_good_copies(new, new)
+    transactions = first_good_copies(incremental.unknown_entries(parsed.transactions, known), new)
     pipelines.refresh_insider(spark, paths.lake, filings, transactions)
     return parsed.rejects
 
@@ -71,21 +67,38 @@ def _read_rejects(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.schema(_REJECTS).parquet(path) if fs.exists(at) else None
 
 
+def _switch_rejects(spark: SparkSession, path: str) -> None:
+    """Put a finished `.next` table in the place of the rejects; also after a run that stopped before."""
+    fs, done = lake._file_system(spark, f"{path}.next/_SUCCESS")
+    if fs.exists(done):
+        spark.read.schema(_REJECTS).parquet(f"{path}.next").write.mode("overwrite").parquet(path)
+        lake.remove(spark, [f"{path}.next"])
+
+
+def _add_rejects(spark: SparkSession, rejects: DataFrame, path: str) -> None:
+    """Append rejects that are not there yet, so that a batch that is done again adds none twice."""
+    there = _read_rejects(spark, path)
+    new = rejects.select(*_REJECTS.fieldNames())
+    if there is not None:
+        new = new.join(there.select("archive_key").distinct(), "archive_key", "left_anti").select(*_REJECTS.fieldNames())
+    new.write.mode("append").parquet(path)
+
+
 def run_refresh(spark: SparkSession, paths: RefreshPaths, max_files: int = 1000) -> None:
     """One pass over everything landed since the last run, after the earlier rejects."""
+    _switch_rejects(spark, paths.rejects)
     earlier = _read_rejects(spark, paths.rejects)
     if earlier is not None:
         again = earlier.select("archive_key", "raw").distinct()
-        # Staged first: the table that is read is then replaced.
+        # A whole new version is written before the old one is replaced.
         still = ingest(spark, again, paths).select(*_REJECTS.fieldNames())
-        staged = f"{paths.rejects}.next"
-        still.write.mode("overwrite").parquet(staged)
-        spark.read.schema(_REJECTS).parquet(staged).write.mode("overwrite").parquet(paths.rejects)
+        still.write.mode("overwrite").parquet(f"{paths.rejects}.next")
+        _switch_rejects(spark, paths.rejects)
 
     def batch(documents: DataFrame, _: int) -> None:
         session = documents.sparkSession
         rejects = ingest(session, documents, paths)
-        rejects.select(*_REJECTS.fieldNames()).write.mode("append").parquet(paths.rejects)
+        _add_rejects(session, rejects, paths.rejects)
 
     stream = (
         spark.readStream.format("text")
