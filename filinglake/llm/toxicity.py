@@ -176,7 +176,7 @@ def train(documents: DataFrame, labels: DataFrame, folds: int = 3, held_out: int
         for part in sample.mapInArrow(learn, "n LONG, part BINARY").toLocalIterator():
             total = total + part.n * np.frombuffer(part.part, np.float32).astype(np.float64)
             n += part.n
-        sent.unpersist()
+        sent.destroy()  # its copies on disk, too: a later round or stage has no use for it
         if not n:
             break
         total = total / n
