@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from filinglake.session import prepare, work_path
+from filinglake.sinks.lake import remove
 
 SHINGLE_WORDS = 5
 # Rows handed to Python at once; texts of a batch are then cut into slices of SLICE_BYTES.
@@ -38,7 +39,15 @@ def land(df: DataFrame, label: str) -> DataFrame:
     """Write a table into the shared folder and read it again: cuts lineage, survives lost executors."""
     path = work_path(df.sparkSession, f"llm-{label}")
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.landed = path
+    return found
+
+
+def discard(*landed: DataFrame) -> None:
+    """Delete landed tables that nothing reads any more."""
+    for df in landed:
+        remove(df.sparkSession, [df.landed])
 
 
 def checksum(text: Column) -> Column:
@@ -201,6 +210,7 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     found = land(edges.select("a", "b").where("a <> b").distinct(), f"{label}-edges")
     seen = None
     while True:
+        edges = found
         spread = both(found)
         least = spread.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         found = spread.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -208,7 +218,8 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         met = down.join(least, "a")
         found = met.select(F.col("b").alias("a"), F.col("m").alias("b")).union(met.select("a", F.col("m").alias("b")))
-        found = land(found.where("a <> b").distinct(), f"{label}-stars")
+        before, found = edges, land(found.where("a <> b").distinct(), f"{label}-stars")
+        discard(before)
         # The sum of the hashes of all edges tells whether the round moved any.
         now = found.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == seen:

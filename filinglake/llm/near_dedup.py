@@ -255,7 +255,7 @@ def _candidates(distinct: DataFrame) -> DataFrame:
     """Pairs (a, b) of digests worth verifying, from (digest, bands, samples) of different texts."""
     own = distinct.where("samples IS NOT NULL")
     state = own.select(F.explode("bands").alias("key"), "digest")
-    pairs, level = None, 0
+    pairs, level, levels = None, 0, []
     while True:
         sizes = state.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         parts = F.ceil(F.col("n") / PART).cast("int")
@@ -267,13 +267,17 @@ def _candidates(distinct: DataFrame) -> DataFrame:
         )
         dealt = cut.repartition("key", "part").sortWithinPartitions("key", "part", "digest")
         now = common.land(dealt.mapInArrow(_parted, "key LONG, a BINARY, b BINARY"), f"near-level{level}")
+        levels.append(now)
         links = now.where("b IS NOT NULL").select("a", "b").distinct()
         pairs = links if pairs is None else pairs.union(links)
         firsts = now.where("b IS NULL").select("key", F.col("a").alias("digest"))
         if firsts.isEmpty():
-            return pairs.distinct()
+            found = common.land(pairs.distinct(), "near-pairs")
+            common.discard(*levels)
+            return found
         state = firsts.join(own.select("digest", F.explode("bands").alias("band")), "digest")
         state = common.land(state.select(F.xxhash64("key", "band").alias("key"), "digest").distinct(), f"near-state{level}")
+        levels.append(state)
         level += 1
 
 
@@ -289,7 +293,7 @@ def classes(documents: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFr
         signed.groupBy("digest").agg(F.min("doc_id").alias("exact_id"), F.min(F.struct("samples", "bands")).alias("s")).select("digest", "exact_id", "s.*"),
         "near-distinct",
     )
-    pairs = common.land(_candidates(distinct), "near-pairs")
+    pairs = _candidates(distinct)
     stand_in = F.lit(-(2**63))
     ends = pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest"))).distinct()
     needed = distinct.join(ends, "digest").select("digest", F.coalesce("exact_id", stand_in).alias("doc_id"))
@@ -308,6 +312,9 @@ def classes(documents: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFr
         .select("a", "b", "left", "right")
     )
     links = common.land(both.mapInArrow(_verified(sent), "a BINARY, b BINARY, similarity DOUBLE"), "near-links")
+    # Signatures and links are written: what they were made from is not read again.
+    common.discard(pairs, found)
+    sent.destroy()
     edges = links.where(F.col("similarity") >= threshold)
     roots = common.components(edges, "near")
     rooted = distinct.select("digest", "exact_id").join(roots.withColumnRenamed("node", "digest"), "digest", "left")
