@@ -36,6 +36,8 @@ SUPPORT = 2
 GENERALISE, REMOVE = 0.6, 1.0
 # Rows of a table of candidate terms (8 bytes each) that may be broadcast; beyond, the join shuffles.
 BROADCAST_TERMS = 250_000
+# Spans (some 50 bytes each) of all texts that may be broadcast as edits; beyond, the join shuffles the texts.
+BROADCAST_EDITS = 50_000
 
 
 def _digits(value: Column) -> Column:
@@ -223,6 +225,10 @@ def sanitised(documents: DataFrame) -> DataFrame:
         .groupBy(F.col("digest").alias("__digest"))
         .agg(F.max("__edits").alias("__edits"))
     )
+    edits = common.land(edits, "pii-edits")
+    # Edits of one text grow with it, so their total counts, not only the number of texts.
+    if (edits.agg(F.coalesce(F.sum(F.size("__edits") + 1), F.lit(0))).first()[0]) <= BROADCAST_EDITS:
+        edits = F.broadcast(edits)
     text = F.col("text")
 
     def edit(state: Column, e: Column) -> Column:
