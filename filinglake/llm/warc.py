@@ -75,12 +75,12 @@ def write(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES) -> str:
 
 
 def cuts(spark: SparkSession, path: str) -> DataFrame:
-    """(file, block, turn, value): what lies behind every magic, in file order by (block, turn)."""
+    """(file, block, turn, value): what lies behind every magic, in file order by (block, turn); a file by its hash."""
     return (
         spark.read.option("lineSep", MAGIC)
         .text(path)
         .select(
-            F.col("_metadata.file_path").alias("file"),
+            F.xxhash64("_metadata.file_path").alias("file"),  # 8 bytes instead of a path in every join
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("turn"),
             "value",
@@ -138,6 +138,7 @@ def reachable(candidates: DataFrame) -> DataFrame:
     state = candidates.select("file", "offset", F.col("successor").alias("jump"), (F.col("offset") == 0).alias("reached"))
     state, turn = common.land(state, "warc-chain"), 0
     while True:
+        landed = state
         target = state.select("file", F.col("offset").alias("jump"), F.col("jump").alias("farther"))
         hit = state.where("reached AND jump IS NOT NULL").select("file", F.col("jump").alias("offset"), F.lit(True).alias("hit"))
         state = (
@@ -145,7 +146,8 @@ def reachable(candidates: DataFrame) -> DataFrame:
             .join(hit, ["file", "offset"], "left")
             .select("file", "offset", F.col("farther").alias("jump"), (F.col("reached") | F.coalesce("hit", F.lit(False))).alias("reached"))
         )
-        state, turn = common.land(state, f"warc-chain{turn}"), turn + 1
+        before, state, turn = landed, common.land(state, f"warc-chain{turn}"), turn + 1
+        common.discard(before)
         if state.where("reached AND jump IS NOT NULL").isEmpty():
             return state.where("reached").select("file", "offset")
 
