@@ -28,6 +28,8 @@ END = "\r\n\r\n"
 # Payloads of at least so many bytes are written once.
 LEAST_BYTES = 0
 RECORDS_PER_FILE = 4096
+# Revisits (some 60 bytes each) that may be broadcast; beyond, payloads are shuffled to be joined with them.
+BROADCAST_REVISITS = 200_000
 DATE = "2026-01-01T00:00:00Z"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8"
 
@@ -51,7 +53,10 @@ def records(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
         rows.where(shared).select("page_id", "digest").join(first, "digest").where(~F.col("page_id").eqNullSafe(F.col("first"))).distinct()
     )
     key = F.coalesce("page_id", F.lit(-(2**63)))
-    told = rows.withColumn("__id", key).join(verdict.withColumn("__id", key).drop("page_id"), ["__id", "digest"], "left")
+    verdict = common.land(verdict.withColumn("__id", key).drop("page_id"), "warc-revisits")
+    if verdict.count() <= BROADCAST_REVISITS:
+        verdict = F.broadcast(verdict)
+    told = rows.withColumn("__id", key).join(verdict, ["__id", "digest"], "left")
     revisit = F.col("first").isNotNull()
     block = F.when(revisit, F.lit(_HTTP + END)).otherwise(F.concat(F.lit(_HTTP + END), "html"))
     header = F.concat_ws(

@@ -67,8 +67,9 @@ def archived(pages):
     return out
 
 
-@pytest.mark.parametrize("parts", [1, 4])
-def test_archives_round_trip(spark, parts, monkeypatch):
+@pytest.mark.parametrize(("parts", "broadcast"), [(1, 200_000), (4, 0)])
+def test_archives_round_trip(spark, parts, broadcast, monkeypatch):
+    monkeypatch.setattr(warc, "BROADCAST_REVISITS", broadcast)
     monkeypatch.setattr(warc, "RECORDS_PER_FILE", 6)
     pages = spark.createDataFrame([(*p, "e") for p in PAGES], "page_id LONG, url STRING, html STRING, digest STRING").repartition(parts)
     assert collections.Counter(tuple(r) for r in warc.round_trip(pages).collect()) == archived(PAGES)
