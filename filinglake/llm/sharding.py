@@ -2,9 +2,9 @@
 
 Rows with a common key (here equal texts) are linked. Linked rows start dealt out evenly; in each round
 every group counts its rows per shard, and its rows elsewhere ask to move to the shard that has most of
-them: in turn among all shards, and among those with room. From one shard to another as many move, by
-rank, as come the other way, and more as far as the quota has places; so a group larger than a shard
-fills one after another, and full shards still exchange rows. Two rounds without a move end it. Rows
+them among those with room, or, after a round without a move, among all. From one shard to another as
+many move, by rank, as come the other way, and more as far as the quota has places; so a group larger than
+a shard fills one after another, and full shards still exchange rows. Two rounds without a move end it. Rows
 without a link then fill every shard exactly to its quota, so counts differ by one at most (law `rows`).
 
 Edges are never listed: a group of n rows is n rows and at most as many counts as there are shards,
@@ -53,11 +53,11 @@ def _allowed(asked: list, free: list[int]) -> list[int]:
     return out
 
 
-def _moved(state: DataFrame, free: list[int], parts: int, turn: int) -> DataFrame:
+def _moved(state: DataFrame, free: list[int], parts: int, turn: int, anywhere: bool) -> DataFrame:
     """`state` with the shard each row has after one round, and whether it moved; ties fall anew in each round."""
     counts = state.groupBy("group", "shard").agg(F.count(F.lit(1)).alias("n"))
     rated = F.struct(F.col("n"), F.xxhash64("group", "shard", F.lit(turn)).alias("tie"), F.col("shard"))
-    room = F.lit(True) if turn % 2 else _of_shard(free, F.col("shard")) > 0
+    room = F.lit(True) if anywhere else _of_shard(free, F.col("shard")) > 0
     best = counts.groupBy("group").agg(F.max(F.when(room, rated)).alias("best"))
     asked = (
         state.join(counts.withColumn("own", rated).select("group", "shard", "own"), ["group", "shard"])
@@ -85,8 +85,10 @@ def propagate(linked: DataFrame, quotas: list[int], rounds: int | None = None) -
     quiet = 0
     for turn in range(ROUNDS if rounds is None else rounds):
         free = [quota - load for quota, load in zip(quotas, _loads(state, shards), strict=True)]
-        after = common.land(_moved(state, free, parts, turn), f"shard-round{turn}")
-        state = after.drop("moved")
+        after = common.land(_moved(state, free, parts, turn, quiet > 0), f"shard-round{turn}")
+        if turn:
+            common.discard(before)
+        before, state = after, after.drop("moved")
         quiet = quiet + 1 if after.where("moved").isEmpty() else 0
         if quiet == 2:
             break
