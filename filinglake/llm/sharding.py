@@ -1,6 +1,6 @@
 """Sharding by balanced label propagation: rows of one group gather in a shard, shards keep equal row counts.
 
-Rows with a common key (here equal texts) are linked. Linked rows start dealt out evenly; in each round
+Rows with a common key (here equal texts) are linked. Linked rows start dealt out evenly, group by group; in each round
 every group counts its rows per shard, and its rows elsewhere ask to move to the shard that has most of
 them among those with room, or, after a round without a move, among all. From one shard to another as
 many move, by rank, as come the other way, and more as far as the quota has places; so a group larger than
@@ -17,7 +17,7 @@ shards empty; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filinglake.llm import common
@@ -76,12 +76,36 @@ def _moved(state: DataFrame, free: list[int], parts: int, turn: int, anywhere: b
     return stay.select(*kept).union(let_in.select(*kept))
 
 
-def propagate(linked: DataFrame, quotas: list[int], rounds: int | None = None) -> DataFrame:
+def _in_line(linked: DataFrame, shards: int, total: int, parts: int) -> DataFrame:
+    """Linked rows dealt out evenly with groups one behind another, so few groups start in several shards.
+
+    A group's place in the line is the sum of the groups before it: within a part by a window, and of whole
+    parts by another over one row a part; rows are ranked within their group.
+    """
+    sizes = linked.groupBy("group").agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.pmod(F.xxhash64("group"), F.lit(parts)))
+    ahead = lambda name, window: F.coalesce(F.sum(name).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inner = sizes.withColumn("inner", ahead("n", Window.partitionBy("part").orderBy("group")))
+    outer = sizes.groupBy("part").agg(F.sum("n").alias("n")).select("part", ahead("n", Window.orderBy("part")).alias("outer"))
+    starts = inner.join(outer, "part").select("group", (F.col("inner") + F.col("outer")).alias("start"))
+    ranks = common.ranked(linked, ["group"], ["doc_id"], "rank", parts)
+    place = F.col("start") + F.col("rank")
+    # The first shards take one row more, as in the quotas, so no load is above its quota.
+    each, more = divmod(total, shards)
+    larger = more * (each + 1)
+    shard = F.when(place < larger, F.floor(place / (each + 1))).otherwise(more + F.floor((place - larger) / max(each, 1)))
+    return ranks.join(starts, "group").select(*linked.columns, shard.cast("int").alias("shard"))
+
+
+def propagate(linked: DataFrame, quotas: list[int], rounds: int | None = None, in_line: bool = True) -> DataFrame:
     """Rows (with `group` and `doc_id`) and the shard each ends in; no shard gets more than its quota."""
     shards, total = len(quotas), linked.count()
     parts = max(8, total // PART_ROWS)
-    dealt = common.ranked(linked, [], ["group", "doc_id"], "rank", parts)
-    state = common.land(dealt.withColumn("shard", (F.col("rank") % shards).cast("int")).drop("rank"), "shard-start")
+    if in_line:
+        dealt = _in_line(linked, shards, total, parts)
+    else:
+        ranks = common.ranked(linked, [], ["group", "doc_id"], "rank", parts)
+        dealt = ranks.withColumn("shard", (F.col("rank") % shards).cast("int")).drop("rank")
+    state = common.land(dealt, "shard-start")
     quiet = 0
     for turn in range(ROUNDS if rounds is None else rounds):
         free = [quota - load for quota, load in zip(quotas, _loads(state, shards), strict=True)]
