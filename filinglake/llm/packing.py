@@ -8,7 +8,7 @@ left of the histogram is packed by best fit. Pieces are then ranked within their
 many tasks, and the n-th piece of a length goes where the plan puts the n-th of that length.
 
 Ids come from the installed fast encoder of the same vocabulary and split pattern; tests hold them
-against those of the library `tokenizers`. Ids of special strings in a text are those of ordinary text.
+against those of the library `tokenizers`. <|endoftext|> in a text is the one id the library gives it.
 
 Defined cases: null counts as empty; an empty text is one piece of the end id alone; repeated rows and
 null ids are packed like any others; an empty table gives an empty result.
@@ -31,6 +31,8 @@ from filinglake.llm import common
 SEQUENCE = 2048
 UNIT = 8
 END_ID = 1
+# The added token of the vocabulary: the library matches it inside texts, whatever add_special_tokens says.
+ADDED = {"<|endoftext|>": 50256}
 GAP = 1e-3
 PIECES_PER_PART = 200_000
 
@@ -43,7 +45,12 @@ def encoder(path: str | None = None):
 
     with open(path or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=ADDED)
+
+
+def encoded(text: str, path: str | None = None) -> list[int]:
+    """Ids of a text; the texts between added tokens are encoded each by itself."""
+    return encoder(path).encode(text, allowed_special=set(ADDED), disallowed_special=())
 
 
 def pieces(documents: DataFrame, path: str | None = None) -> DataFrame:
@@ -52,11 +59,10 @@ def pieces(documents: DataFrame, path: str | None = None) -> DataFrame:
     names = [field.split()[0] for field in shape.split(", ")]
 
     def cut(batches):
-        encode = encoder(path).encode_ordinary
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                ids = np.array([*encode(text.as_py() or ""), END_ID], "<u4")
+                ids = np.array([*encoded(text.as_py() or "", path), END_ID], "<u4")
                 for start in range(0, len(ids), SEQUENCE):
                     own = ids[start : start + SEQUENCE]
                     rows.append((doc_id, start, len(own), zlib.crc32(own.tobytes()), len(ids)))

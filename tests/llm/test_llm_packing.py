@@ -83,3 +83,13 @@ def test_knapsack_against_all_multisets():
     best, pattern = packing.knapsack(values, 12)
     every = [a * 1.0 + b * 1.9 + c * 2.9 for a in range(5) for b in range(3) for c in range(2) if 3 * a + 5 * b + 7 * c <= 12]
     assert best == pytest.approx(max(every)) and sum(length * n for length, n in pattern.items()) <= 12
+
+
+def test_added_token_inside_texts(docs):
+    library = tokenizers.Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [end, f"a {end} b", f"x{end}{end}  y", f"a  {end}\n\n b's {end[:-1]}", f"<|{end}|>", "plain  text ", f"é😀{end}1"]
+    found = {r.doc_id: r for r in packing.pack(docs(list(enumerate(texts)))).collect()}
+    for i, text in enumerate(texts):
+        ids = np.array([*library.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        assert (found[i].doc_tokens, found[i].ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
