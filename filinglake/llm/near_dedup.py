@@ -9,9 +9,10 @@ candidates are verified by.
 
 Candidates share all ROWS samples of one of BANDS bands. Such a group is cut into parts of about PART
 texts, and a part yields a spanning forest by the agreement of all samples: at most one link a text, and a
-second to its next best neighbour, never all pairs. The first text of each tree then meets those of the
-group's other parts, in smaller groups that share one more band, until a group has one part. The links are
-verified by their exact similarity; texts linked by those that pass form a class.
+second to its next best neighbour. Links are verified by their exact similarity; texts linked by those that
+pass form a class. Then every two texts of a group that are in different classes are compared, block against
+block, and of those with enough agreement the best FIRST_BEST of a text in each block are verified, then
+16 times as many, until no block had more: each pair of a group with enough agreement is verified or in a class.
 
 Defined cases: a null text counts as empty; texts without words equal only equal texts; equal texts
 share a class whatever their ids, repeated rows and null ids included; a class is named by its
@@ -35,6 +36,10 @@ DEPTH, CELLS = 2, 1 << 19
 # Texts of a group compared at once, and the share of equal samples that makes a link worth verifying:
 # a pair of similarity 0.8 has less in one case of some thousands.
 PART, AGREEMENT = 512, 20 / (BANDS * ROWS)
+# Cells of PART texts that a group is dealt to at most; beyond, cells grow and a task compares them tile by tile.
+CELLS_OF_GROUP = 128
+FIRST_BEST = 16
+TILE, BATCH_PAIRS = 512, 4096
 _CHUNK = 1 << 14
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -194,15 +199,21 @@ def _verified(sent):
     return verify
 
 
-def forest(drawn: np.ndarray, least: float = AGREEMENT) -> tuple[list[tuple[int, int]], list[int]]:
-    """Links of a maximum spanning forest by share of equal samples, second-best links, and the first of each tree."""
+def agreement(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Number of equal samples of each text on the left with each on the right."""
+    equal = np.zeros((len(left), len(right)), np.int16)
+    for k in range(left.shape[1]):
+        equal += left[:, None, k] == right[None, :, k]
+    return equal
+
+
+def forest(drawn: np.ndarray, least: float = AGREEMENT) -> list[tuple[int, int]]:
+    """Links of a maximum spanning forest by share of equal samples, and second-best links."""
     n = len(drawn)
-    equal = np.zeros((n, n), np.int16)
-    for k in range(drawn.shape[1]):
-        equal += drawn[:, None, k] == drawn[None, :, k]
+    equal = agreement(drawn, drawn)
     np.fill_diagonal(equal, -1)
     enough = least * drawn.shape[1] - 1e-9
-    links, firsts, best, near = [], [], np.full(n, -1), np.zeros(n, np.int64)
+    links, best, near = [], np.full(n, -1), np.zeros(n, np.int64)
     free = np.ones(n, bool)
     for _ in range(n):
         at = int(np.argmax(np.where(free, best, -2)))
@@ -210,90 +221,147 @@ def forest(drawn: np.ndarray, least: float = AGREEMENT) -> tuple[list[tuple[int,
             links.append((int(near[at]), at))
         else:
             at = int(np.argmax(free))
-            firsts.append(at)
         free[at] = False
         closer = equal[at] > best
         best[closer], near[closer] = equal[at][closer], at
     if n > 2:
         second = np.argpartition(equal, n - 2, axis=1)[:, n - 2]
         links += [(i, int(j)) for i, j in enumerate(second) if equal[i, j] >= enough]
-    return links, firsts
+    return links
 
 
-def _parted(batches):
-    """Links within each part of a group, and the first text of each tree of a group of several parts.
+def _drawn(rows: list[tuple]) -> np.ndarray:
+    return np.frombuffer(b"".join(r[-1] for r in rows), np.uint32).reshape(len(rows), -1)
 
-    Rows come sorted by (key, part); a part, of bounded size, may run over several batches.
-    """
-    kept: list[tuple] = []
 
-    def found(rows):
-        links, firsts = forest(np.frombuffer(b"".join(r[4] for r in rows), np.uint32).reshape(len(rows), -1))
-        out = [(None, *sorted((rows[i][3], rows[j][3]))) for i, j in links]
-        return out + [(rows[i][0], rows[i][3], None) for i in firsts if rows[0][2] > 1]
+def _packed(pairs: list[tuple]) -> pa.RecordBatch:
+    a, b = zip(*pairs, strict=True) if pairs else ([], [])
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
-    def packed(out):
-        columns = list(zip(*out, strict=True)) if out else [[], [], []]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary())],
-            ["key", "a", "b"],
-        )
 
+def _grouped(batches, keys: int):
+    """Rows in runs of equal first `keys` columns, by which they come sorted; a run may go over several batches."""
+    kept: list[tuple] = []
     for batch in batches:
-        out = []
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if kept and kept[0][:2] != row[:2]:
-                out += found(kept)
+            if kept and kept[0][:keys] != row[:keys]:
+                yield kept
                 kept = []
             kept.append(row)
-        yield packed(out)
     if kept:
-        yield packed(found(kept))
+        yield kept
 
 
-def _candidates(distinct: DataFrame) -> DataFrame:
-    """Pairs (a, b) of digests worth verifying, from (digest, bands, samples) of different texts."""
-    own = distinct.where("samples IS NOT NULL")
+def _parted(batches):
+    """Links within each part of a group, of rows (key, part, digest, samples)."""
+    out: list[tuple] = []
+    for rows in _grouped(batches, 2):
+        out += [tuple(sorted((rows[i][2], rows[j][2]))) for i, j in forest(_drawn(rows))]
+        if len(out) >= BATCH_PAIRS:
+            yield _packed(out)
+            out = []
+    yield _packed(out)
+
+
+def crossing(left: np.ndarray, right: np.ndarray, apart: np.ndarray, most: int, least: float = AGREEMENT) -> tuple[np.ndarray, bool]:
+    """Pairs (row on the left, row on the right) that are `apart` and agree enough, the best `most` of a left row; whether that left any out."""
+    equal = agreement(left, right)
+    equal[~apart] = 0
+    enough = equal >= least * left.shape[1] - 1e-9
+    full = np.flatnonzero(enough.sum(1) > most)
+    if len(full):
+        best = np.argpartition(-equal[full], most - 1, axis=1)[:, :most]
+        enough[full] = False
+        enough[full[:, None], best] = True
+    return np.argwhere(enough), len(full) > 0
+
+
+def _compared(most: int):
+    """Pairs of different classes in each block of two cells; a row of nulls where a text had more than `most`.
+
+    Rows are (key, i, j, cell, digest, root, samples).
+    """
+
+    def compare(batches):
+        for rows in _grouped(batches, 3):
+            _, i, j = rows[0][:3]
+            sides = [[r for r in rows if r[3] == cell] for cell in (i, j)]
+            if not all(sides):
+                continue
+            numbers: dict[bytes, int] = {}
+            roots = [np.array([numbers.setdefault(r[5], len(numbers)) for r in side]) for side in sides]
+            drawn = [_drawn(side) for side in sides]
+            if len(numbers) == 1:
+                continue
+            for x in range(0, len(sides[0]), TILE):
+                for y in range(x if i == j else 0, len(sides[1]), TILE):
+                    apart = roots[0][x : x + TILE, None] != roots[1][None, y : y + TILE]
+                    if i == j and x == y:
+                        apart = np.triu(apart, 1)
+                    if apart.any():
+                        pairs, more = crossing(drawn[0][x : x + TILE], drawn[1][y : y + TILE], apart, most)
+                        out = [tuple(sorted((sides[0][x + p][4], sides[1][y + q][4]))) for p, q in pairs.tolist()]
+                        if out:
+                            yield _packed(out + [(None, None)] * more)
+
+    return compare
+
+
+def _crowded(own: DataFrame) -> DataFrame:
+    """(key, n, digest) of the band groups of more than one text, from (digest, bands, samples)."""
     state = own.select(F.explode("bands").alias("key"), "digest")
-    pairs, level, levels = None, 0, []
-    while True:
-        sizes = state.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        parts = F.ceil(F.col("n") / PART).cast("int")
-        cut = (
-            state.join(sizes, "key")
-            .select("key", F.pmod(F.xxhash64("key", "digest"), parts).cast("int").alias("part"), parts.alias("parts"), "digest")
-            .join(own.select("digest", "samples"), "digest")
-            .select("key", "part", "parts", "digest", "samples")
-        )
-        dealt = cut.repartition("key", "part").sortWithinPartitions("key", "part", "digest")
-        now = common.land(dealt.mapInArrow(_parted, "key LONG, a BINARY, b BINARY"), f"near-level{level}")
-        levels.append(now)
-        links = now.where("b IS NOT NULL").select("a", "b").distinct()
-        pairs = links if pairs is None else pairs.union(links)
-        firsts = now.where("b IS NULL").select("key", F.col("a").alias("digest"))
-        if firsts.isEmpty():
-            found = common.land(pairs.distinct(), "near-pairs")
-            common.discard(*levels)
-            return found
-        state = firsts.join(own.select("digest", F.explode("bands").alias("band")), "digest")
-        state = common.land(state.select(F.xxhash64("key", "band").alias("key"), "digest").distinct(), f"near-state{level}")
-        levels.append(state)
-        level += 1
+    sizes = state.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return common.land(state.join(sizes, "key").select("key", "n", "digest"), "near-crowded")
 
 
-def classes(documents: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, digest, exact_id, class_id) of every row, and the verified links between different texts."""
-    spark = documents.sparkSession
-    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), common.digest(F.col("text")).alias("digest"))
-    sent = spark.sparkContext.broadcast(frequencies(texts))
-    signed = common.land(
-        texts.mapInArrow(_signed(sent), "doc_id LONG, digest BINARY, bands ARRAY<LONG>, samples BINARY"), "near-signed"
+def _within_parts(own: DataFrame, crowded: DataFrame) -> DataFrame:
+    """Pairs (a, b) of digests linked by the forests of all parts."""
+    part = F.pmod(F.xxhash64("key", "digest"), F.ceil(F.col("n") / PART).cast("int")).cast("int").alias("part")
+    cut = crowded.select("key", part, "digest").join(own.select("digest", "samples"), "digest").select("key", "part", "digest", "samples")
+    dealt = cut.repartition("key", "part").sortWithinPartitions("key", "part", "digest")
+    return common.land(dealt.mapInArrow(_parted, "a BINARY, b BINARY").distinct(), "near-pairs")
+
+
+def _across_classes(own: DataFrame, crowded: DataFrame, rooted: DataFrame, most: int) -> DataFrame:
+    """Pairs (a, b) of a group in different classes that agree enough, the best `most` of a text in each block.
+
+    A group is dealt to cells, the texts of its largest class apart from the others, and every cell of the
+    others meets every cell, each two in a block of their own. Small groups are one cell.
+    """
+    held = crowded.join(rooted, "digest")
+    by_class = held.groupBy("key", "root").agg(F.count(F.lit(1)).alias("own"))
+    groups = (
+        by_class.groupBy("key")
+        .agg(F.sum("own").alias("all"), F.max(F.struct("own", "root")).alias("largest"), F.count(F.lit(1)).alias("classes"))
+        .where("classes > 1")
     )
-    distinct = common.land(
-        signed.groupBy("digest").agg(F.min("doc_id").alias("exact_id"), F.min(F.struct("samples", "bands")).alias("s")).select("digest", "exact_id", "s.*"),
-        "near-distinct",
+    cells = lambda n: F.least(F.ceil(n / PART), F.lit(CELLS_OF_GROUP)).cast("int")
+    one = F.col("all") <= PART
+    groups = groups.select(
+        "key",
+        F.when(~one, F.col("largest.root")).alias("largest"),
+        F.when(one, 1).otherwise(cells(F.col("all") - F.col("largest.own"))).alias("others"),
+        F.when(one, 0).otherwise(cells(F.col("largest.own"))).alias("rest"),
+    )
+    large = F.col("root").eqNullSafe(F.col("largest"))
+    number = F.xxhash64("key", "digest")
+    cell = F.when(large, F.col("others") + F.pmod(number, "rest")).otherwise(F.pmod(number, "others")).cast("int")
+    meets = F.sequence(F.lit(0), F.when(large, F.col("others")).otherwise(F.col("others") + F.col("rest")) - 1)
+    block = lambda c: F.struct(F.least("cell", c).alias("i"), F.greatest("cell", c).alias("j"))
+    dealt = (
+        held.join(groups, "key")
+        .select("key", "digest", "root", cell.alias("cell"), meets.alias("meets"))
+        .join(own.select("digest", "samples"), "digest")
+        .select("key", F.explode(F.transform("meets", block)).alias("block"), "cell", "digest", "root", "samples")
+        .select("key", "block.i", "block.j", "cell", "digest", "root", "samples")
+        .repartition("key", "i", "j")
+        .sortWithinPartitions("key", "i", "j", "digest")
     )
-    pairs = _candidates(distinct)
+    return common.land(dealt.mapInArrow(_compared(most), "a BINARY, b BINARY").distinct(), f"near-across{most}")
+
+
+def _checked(texts: DataFrame, distinct: DataFrame, pairs: DataFrame, sent) -> DataFrame:
+    """(a, b, similarity) of the pairs, by their exact similarity."""
     stand_in = F.lit(-(2**63))
     ends = pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest"))).distinct()
     needed = distinct.join(ends, "digest").select("digest", F.coalesce("exact_id", stand_in).alias("doc_id"))
@@ -312,13 +380,51 @@ def classes(documents: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFr
         .select("a", "b", "left", "right")
     )
     links = common.land(both.mapInArrow(_verified(sent), "a BINARY, b BINARY, similarity DOUBLE"), "near-links")
-    # Signatures and links are written: what they were made from is not read again.
-    common.discard(pairs, found)
+    common.discard(found)
+    return links
+
+
+def _rooted(distinct: DataFrame, edges: DataFrame) -> DataFrame:
+    """(digest, exact_id, root) of every text, by the classes that the edges make."""
+    roots = common.components(edges, "near").withColumnRenamed("node", "digest")
+    rooted = distinct.select("digest", "exact_id").join(roots, "digest", "left")
+    return common.land(rooted.withColumn("root", F.coalesce("root", "digest")), "near-rooted")
+
+
+def classes(documents: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, digest, exact_id, class_id) of every row, and the verified links between different texts."""
+    spark = documents.sparkSession
+    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), common.digest(F.col("text")).alias("digest"))
+    sent = spark.sparkContext.broadcast(frequencies(texts))
+    signed = common.land(
+        texts.mapInArrow(_signed(sent), "doc_id LONG, digest BINARY, bands ARRAY<LONG>, samples BINARY"), "near-signed"
+    )
+    distinct = common.land(
+        signed.groupBy("digest").agg(F.min("doc_id").alias("exact_id"), F.min(F.struct("samples", "bands")).alias("s")).select("digest", "exact_id", "s.*"),
+        "near-distinct",
+    )
+    own = distinct.where("samples IS NOT NULL")
+    crowded = _crowded(own)
+    pairs = _within_parts(own, crowded)
+    links = _checked(texts, distinct, pairs, sent)
+    common.discard(pairs)
+    rooted = _rooted(distinct, links.where(F.col("similarity") >= threshold))
+    most, more = FIRST_BEST, True
+    while more:
+        across = _across_classes(own, crowded, rooted.select("digest", "root"), most)
+        more = not across.where("a IS NULL").isEmpty()
+        pairs = common.land(across.where("a IS NOT NULL").join(links.select("a", "b"), ["a", "b"], "left_anti"), "near-pairs")
+        if not pairs.isEmpty():
+            fresh = _checked(texts, distinct, pairs, sent)
+            links = links.union(fresh)
+            if not fresh.where(F.col("similarity") >= threshold).isEmpty():
+                before, rooted = rooted, _rooted(distinct, links.where(F.col("similarity") >= threshold))
+                common.discard(before)
+        common.discard(across, pairs)
+        most *= 16
+    common.discard(crowded)
     sent.destroy()
     edges = links.where(F.col("similarity") >= threshold)
-    roots = common.components(edges, "near")
-    rooted = distinct.select("digest", "exact_id").join(roots.withColumnRenamed("node", "digest"), "digest", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "digest"))
     named = rooted.groupBy("root").agg(F.min("exact_id").alias("class_id"))
     by_text = common.land(rooted.join(named, "root").select("digest", "exact_id", "class_id"), "near-classes")
     return signed.select("doc_id", "digest").join(by_text, "digest"), edges

@@ -1,5 +1,6 @@
 import collections
 import itertools
+import random
 
 import numpy as np
 import pyarrow as pa
@@ -120,3 +121,43 @@ def test_ranks_are_gapless(spark):
     for buckets in (1, 7):
         ranks = common.ranked(frame, ["g"], ["v"], "r", buckets).groupBy("g").agg(F.count("r"), F.min("r"), F.max("r"), F.countDistinct("r")).collect()
         assert all(r[1] == r[3 + 1] and r[2] == 0 and r[3] == r[1] - 1 for r in ranks)
+
+
+def families(seed, texts, length, edits, twins):
+    """Versions of one text with `edits` own words each, and twins of every tenth with some more."""
+    base, rows = prose(seed, length).split(), []
+    for i in range(texts):
+        own = random.Random(seed * 1000 + i).sample(range(length), edits)
+        rows.append((i, " ".join(f"x{i}z{k}" if k in own else w for k, w in enumerate(base))))
+    for i in range(0, texts, 10):
+        own = random.Random(seed * 77 + i).sample(range(length), twins)
+        rows.append((1000 + i, " ".join(f"q{i}z{k}" if k in own else w for k, w in enumerate(rows[i][1].split()))))
+    return rows
+
+
+def all_pairs(rows, known):
+    """Class of each row by the similarities of all pairs, and how many pairs pass."""
+    pairs = list(itertools.combinations(range(len(rows)), 2))
+    sides = [pa.array([rows[p[side]][1] for p in pairs]) for side in (0, 1)]
+    alike = np.concatenate([near_dedup.similarities(*(s.slice(at, 256) for s in sides), known) for at in range(0, len(pairs), 256)])
+    root = list(range(len(rows)))
+    for (i, j), s in zip(pairs, alike, strict=True):
+        if s >= 0.8 and root[i] != root[j]:
+            low, high = sorted((root[i], root[j]))
+            root = [low if r == high else r for r in root]
+    return {rows[i][0]: rows[r][0] for i, r in enumerate(root)}, int((alike >= 0.8).sum())
+
+
+def test_large_group_of_unlike_texts_ends(spark, docs, monkeypatch):
+    monkeypatch.setattr(near_dedup, "PART", 3)
+    land, written = common.land, []
+
+    def counted(df, label):
+        written.append(label)
+        assert len(written) <= 20, "candidates do not end"
+        return land(df, label)
+
+    monkeypatch.setattr(common, "land", counted)
+    rows = families(1, 60, 300, 2, 2)
+    want, _ = all_pairs(rows, near_dedup.frequencies(docs(rows).select("text")))
+    assert {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs(rows)).collect()} == want
