@@ -161,3 +161,10 @@ def test_large_group_of_unlike_texts_ends(spark, docs, monkeypatch):
     rows = families(1, 60, 300, 2, 2)
     want, _ = all_pairs(rows, near_dedup.frequencies(docs(rows).select("text")))
     assert {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs(rows)).collect()} == want
+
+
+def test_no_pair_is_lost_among_many_just_below(spark, docs):
+    rows = families(3, 100, 500, 2, 4)
+    want, passing = all_pairs(rows, near_dedup.frequencies(docs(rows).select("text")))
+    assert passing > 5
+    assert {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs(rows)).collect()} == want
