@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -51,7 +52,7 @@ def local_session(cpus: str | int = "*", memory: str = "8g", name: str = "filing
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 
-    A machine-local folder is only ever chosen for a local master.
+    A machine-local folder is only ever chosen for a local master, once for the whole process.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
@@ -60,9 +61,12 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    named = tempfile.mkdtemp(prefix="filinglake-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    return _own_folder()
+
+
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="filinglake-")
 
 
 def work_path(spark: SparkSession, label: str) -> str:
