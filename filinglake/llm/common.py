@@ -100,7 +100,8 @@ def words(texts: pa.Array, letters_only: bool = False) -> tuple[pa.Array, np.nda
     lowered = pc.utf8_lower(pc.fill_null(texts, ""))
     if letters_only:
         lowered = pc.replace_substring_regex(lowered, pattern=r"[^\pL\pN_]+", replacement=" ")
-    lists = pc.utf8_split_whitespace(lowered)
+    # Trimmed first: of a blank text the split may leave a blank piece, depending on its neighbours.
+    lists = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(lowered))
     offsets = lists.offsets.to_numpy().astype(np.int64)
     flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
     offsets = offsets - offsets[0]

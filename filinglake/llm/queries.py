@@ -12,6 +12,7 @@ from filinglake.llm import (
     langid,
     near_dedup,
     packing,
+    periodic,
     sanitise,
     secrets,
     sharding,
@@ -61,6 +62,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_language": op2_language,
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_fingerprints": op9_fingerprints,
     "op10_secrets": op10_secrets,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 # Base32 letters of the four 40-bit parts of a SHA-1 in hexadecimal.

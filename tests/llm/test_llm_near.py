@@ -4,6 +4,8 @@ import random
 
 import numpy as np
 import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from filinglake.llm import common, near_dedup
@@ -168,3 +170,12 @@ def test_no_pair_is_lost_among_many_just_below(spark, docs):
     want, passing = all_pairs(rows, near_dedup.frequencies(docs(rows).select("text")))
     assert passing > 5
     assert {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs(rows)).collect()} == want
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="aB \t\n\x0b\x0c\r\x1c\x85\xa0 　é", max_size=8), min_size=1, max_size=8), st.integers(0, 7))
+def test_words_do_not_depend_on_neighbours(texts, first):
+    flat, offsets = common.words(pa.array(texts).slice(min(first, len(texts) - 1)))
+    for i, text in enumerate(texts[min(first, len(texts) - 1) :]):
+        alone, _ = common.words(pa.array([text]))
+        assert flat.slice(offsets[i], offsets[i + 1] - offsets[i]).to_pylist() == alone.to_pylist() == text.lower().split()
