@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from filinglake.llm import (
+    curriculum,
     decontaminate,
     fingerprints,
     langid,
     near_dedup,
+    negatives,
     packing,
     periodic,
     sanitise,
@@ -62,6 +64,14 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curriculum.mixture(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mined(table(spark, sf_dir, "embeddings"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.run_digests(table(spark, sf_dir, "documents"))
 
@@ -77,6 +87,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_fingerprints": op9_fingerprints,
     "op10_secrets": op10_secrets,
+    "op11_curriculum": op11_curriculum,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -90,6 +102,8 @@ _BASE32 = " || ".join(
 # The other operators train models, sample, or find places of regex matches; tests hold them against
 # brute force, exact round trips or held-out rows.
 ORACLE_SQL: dict[str, str] = {
+    "op11_curriculum": curriculum.SQL,
+    "op12_hard_negatives": negatives.SQL,
     "op5_warc": f"""
 WITH hashed AS (
     SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
