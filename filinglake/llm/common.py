@@ -50,6 +50,14 @@ def discard(*landed: DataFrame) -> None:
         remove(df.sparkSession, [df.landed])
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that `df` doesn't have, in any case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def checksum(text: Column) -> Column:
     """Unsigned CRC-32 of the UTF-8 text; null counts as empty."""
     return F.crc32(F.coalesce(text, F.lit("")).cast("binary"))

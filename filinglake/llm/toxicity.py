@@ -3,7 +3,14 @@
 Every word and the stem of its first STEM letters is a feature (present or not). Besides one weight per feature the model has a short vector
 per feature, and the product of two vectors weighs their meeting in one text, which a sum of single
 weights can't express. It is trained in rounds: every partition of the landed sample starts from the
-broadcast model, makes one pass of Adagrad over its rows, and the results are averaged.
+broadcast model, makes one pass of Adagrad over its rows, and the results are averaged. Only features
+that are learned have a number in the model, so it is as large as they are many.
+
+Defined cases: a null text counts as empty, and empty texts have the score of the bias alone; rows
+without id, label or text teach nothing, of a repeated id every labelled row counts, and equal texts of
+equal label count once; without anything to learn from every score is one half; every row is scored
+by itself, whole texts of any length a slice of rows at a time, so ties and repeated rows need no rule;
+the caller's columns stay as they are; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,11 +41,20 @@ REJECT = 0.7
 
 @dataclass(frozen=True)
 class Model:
-    """bias, weight per feature, and FACTORS numbers per feature: 5 MB whatever the input."""
+    """bias, and of each learned feature a weight and FACTORS numbers; `ids` are their hashes, ascending."""
 
     bias: float
     weights: np.ndarray
     factors: np.ndarray
+    ids: np.ndarray
+
+    def numbered(self, hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the learned features among flat hashes of texts, and their offsets."""
+        if not len(self.ids):
+            return np.empty(0, np.int64), np.zeros(len(offsets), np.int64)
+        at = np.minimum(np.searchsorted(self.ids, hashes), len(self.ids) - 1)
+        known = self.ids[at] == hashes
+        return at[known], np.concatenate(([0], np.cumsum(known)))[offsets]
 
     def logits(self, index: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """bias + sum of weights + half of (square of summed vectors - sum of squares), per text."""
@@ -81,8 +97,8 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np
     return np.array(labels, np.float64), np.concatenate(index), np.concatenate(([0], np.cumsum(np.concatenate(counts))))
 
 
-def _epoch(labels, index, offsets, model: Model, known: np.ndarray, seed: int, rate=0.5, sparse=2e-4, decay=1e-3) -> Model:
-    """One pass of Adagrad in small batches over texts in random order; only `known` features move.
+def _epoch(labels, index, offsets, model: Model, seed: int, rate=0.5, sparse=2e-4, decay=1e-3) -> Model:
+    """One pass of Adagrad in small batches over texts in random order; `index` numbers learned features.
 
     Weights are pulled to 0 by `sparse` a step, so that many ordinary words of a long text don't
     outweigh a few telling ones; factors shrink by `decay`.
@@ -95,11 +111,8 @@ def _epoch(labels, index, offsets, model: Model, known: np.ndarray, seed: int, r
         counts = offsets[own + 1] - offsets[own]
         at = np.concatenate(([0], np.cumsum(counts)))
         picked = index[np.repeat(offsets[own] - at[:-1], counts) + np.arange(at[-1])]
-        keep = known[picked]
-        row = np.repeat(np.arange(len(own)), counts)[keep]
-        picked = picked[keep]
-        at = np.searchsorted(row, np.arange(len(own) + 1))
-        z = Model(bias, w, v).logits(picked, at)
+        row = np.repeat(np.arange(len(own)), counts)
+        z = Model(bias, w, v, model.ids).logits(picked, at)
         error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[own]
         bias_step = error.mean()
         gb += bias_step**2
@@ -119,7 +132,7 @@ def _epoch(labels, index, offsets, model: Model, known: np.ndarray, seed: int, r
         moved = w[seen] - step * dw
         w[seen] = np.sign(moved) * np.maximum(np.abs(moved) - step * sparse, 0)
         v[seen] = (1 - decay) * v[seen] - 0.2 * rate * dv / np.sqrt(gv[seen])
-    return Model(float(bias), w, v)
+    return Model(float(bias), w, v, model.ids)
 
 
 def train(documents: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1) -> Model:
@@ -139,7 +152,8 @@ def train(documents: DataFrame, labels: DataFrame, folds: int = 3, held_out: int
     rows = documents.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(usable), "doc_id")
     found = rows.select("toxic", "text").mapInArrow(_features_of, "toxic INT, words ARRAY<INT>")
     # Read again in every round, each worker its own files: no round shuffles anything.
-    sample = common.land(found.dropDuplicates(["toxic", "words"]).repartition(WORKERS), "toxic-sample").coalesce(WORKERS)
+    landed = common.land(found.dropDuplicates(["toxic", "words"]).repartition(WORKERS), "toxic-sample")
+    sample = landed.coalesce(WORKERS)
 
     def texts_per_feature(batches):
         labels_, index, offsets = _rows(batches)
@@ -157,31 +171,32 @@ def train(documents: DataFrame, labels: DataFrame, folds: int = 3, held_out: int
     together = (hits[0] + hits[1]) / sum(texts)
     spread = np.sqrt(together * (1 - together) * (1 / texts[0] + 1 / texts[1])) + 1e-9
     known = (hits[0] + hits[1] >= LEAST_TEXTS) & (np.abs(hits[1] / texts[1] - hits[0] / texts[0]) >= LEAST_ERRORS * spread)
+    ids = np.flatnonzero(known)
     rng = np.random.default_rng(11)
-    model = Model(0.0, np.zeros(FEATURES), rng.normal(0, 0.01, (FEATURES, FACTORS)) * known[:, None])
+    model = Model(0.0, np.zeros(len(ids)), rng.normal(0, 0.01, (FEATURES, FACTORS))[ids], ids)
     for turn in range(ROUNDS):
-        sent = spark.sparkContext.broadcast((model, known))
+        sent = spark.sparkContext.broadcast(model)
 
         def learn(batches, sent=sent, turn=turn):
             labels_, index, offsets = _rows(batches)
             if len(labels_):
-                start, known_ = sent.value
-                own = _epoch(labels_, index, offsets, start, known_, seed=turn)
+                own = _epoch(labels_, *sent.value.numbered(index, offsets), sent.value, seed=turn)
                 packed = np.concatenate(([own.bias], own.weights, own.factors.ravel())).astype(np.float32)
                 yield pa.RecordBatch.from_pydict(
                     {"n": pa.array([len(labels_)], pa.int64()), "part": pa.array([packed.tobytes()], pa.binary())}
                 )
 
         total, n = 0.0, 0
-        for part in sample.mapInArrow(learn, "n LONG, part BINARY").collect():  # WORKERS models of 5 MB
+        for part in sample.mapInArrow(learn, "n LONG, part BINARY").collect():  # WORKERS models
             total = total + part.n * np.frombuffer(part.part, np.float32).astype(np.float64)
             n += part.n
         sent.destroy()  # its copies on disk, too: a later round or stage has no use for it
         if not n:
             break
         total = total / n
-        model = Model(float(total[0]), total[1 : FEATURES + 1], total[FEATURES + 1 :].reshape(FEATURES, FACTORS))
-    return Model(model.bias, model.weights.astype(np.float32), model.factors.astype(np.float32))
+        model = Model(float(total[0]), total[1 : len(ids) + 1], total[len(ids) + 1 :].reshape(len(ids), FACTORS), ids)
+    common.discard(landed)
+    return Model(model.bias, model.weights.astype(np.float32), model.factors.astype(np.float32), ids)
 
 
 def score(documents: DataFrame, model: Model, name: str = "score") -> DataFrame:
@@ -196,7 +211,7 @@ def score(documents: DataFrame, model: Model, name: str = "score") -> DataFrame:
         for batch in batches:
             for start, stop in common.slices(batch["text"]):
                 cut = batch.slice(start, stop - start)
-                z = sent.value.logits(*features(cut["text"]))
+                z = sent.value.logits(*sent.value.numbered(*features(cut["text"])))
                 chance = 1 / (1 + np.exp(-np.clip(z.astype(np.float64), -30, 30)))
                 yield pa.RecordBatch.from_arrays([*cut.columns, pa.array(chance)], [*cut.schema.names, name])
 
@@ -206,8 +221,9 @@ def score(documents: DataFrame, model: Model, name: str = "score") -> DataFrame:
 
 def without_toxic(documents: DataFrame, labels: DataFrame, threshold: float = REJECT) -> DataFrame:
     """Documents scored below `threshold`, with the columns they came with."""
-    scored = score(documents, train(documents, labels), "__toxic")
-    return scored.where(F.col("__toxic") < threshold).drop("__toxic")
+    name = common.unused(documents, "chance")
+    scored = score(documents, train(documents, labels), name)
+    return scored.where(F.col(name) < threshold).drop(name)
 
 
 def scores(documents: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1) -> DataFrame:

@@ -27,7 +27,7 @@ def labelled(spark):
 
 def test_logits_hold_all_pairs():
     draw = np.random.default_rng(1)
-    model = toxicity.Model(0.3, draw.normal(size=9), draw.normal(size=(9, 3)))
+    model = toxicity.Model(0.3, draw.normal(size=9), draw.normal(size=(9, 3)), np.arange(9))
     texts = [[0, 3, 5], [], [8], [1, 2, 4, 6, 7]]
     want = []
     for own in texts:
@@ -72,6 +72,19 @@ def test_empty(spark, docs, odd):
     assert toxicity.without_toxic(docs(odd), none).count() == len(odd)
 
 
+def test_a_clashing_column_stays(docs, odd, labelled):
+    frame = docs(odd).withColumn("chance", F.lit("own")).withColumn("_Chance", F.lit("own"))
+    kept = toxicity.without_toxic(frame, labelled[1])
+    assert kept.columns == frame.columns and kept.where("chance <> 'own' OR `_Chance` <> 'own'").count() == 0
+
+
+def test_numbers_of_learned_features():
+    model = toxicity.Model(0.0, np.zeros(3), np.zeros((3, 2)), np.array([2, 5, 9]))
+    index, offsets = model.numbered(np.array([1, 2, 9, 9, 11, 5]), np.array([0, 2, 2, 5, 6]))
+    assert index.tolist() == [0, 2, 2, 1] and offsets.tolist() == [0, 1, 1, 3, 4]
+    assert model.logits(index, offsets).tolist() == [0.0] * 4
+
+
 def test_features_are_a_set():
     index, offsets = toxicity.features(pa.array(["a a, A b", "", None, "b"]))
     assert np.diff(offsets).tolist() == [4, 0, 0, 2]
