@@ -10,9 +10,9 @@ candidates are verified by.
 Candidates share all ROWS samples of one of BANDS bands. Such a group is cut into parts of about PART
 texts, and a part yields a spanning forest by the agreement of all samples: at most one link a text, and a
 second to its next best neighbour. Links are verified by their exact similarity; texts linked by those that
-pass form a class. Then every two texts of a group that are in different classes are compared, block against
-block, and of those with enough agreement the best FIRST_BEST of a text in each block are verified, then
-16 times as many, until no block had more: each pair of a group with enough agreement is verified or in a class.
+pass form a class. Then the weighted sets of a group that holds several classes are dealt to cells, every
+two cells meet in a block, and the exact similarity of every two texts of different classes is computed
+there, as a product of matrices. A block gives only links that pass and join two classes, fewer than its texts.
 
 Defined cases: a null text counts as empty; texts without words equal only equal texts; equal texts
 share a class whatever their ids, repeated rows and null ids included; a class is named by its
@@ -33,13 +33,13 @@ from filinglake.llm import common
 SIMILARITY = 0.8
 BANDS, ROWS = 12, 3
 DEPTH, CELLS = 2, 1 << 19
-# Texts of a group compared at once, and the share of equal samples that makes a link worth verifying:
-# a pair of similarity 0.8 has less in one case of some thousands.
+# Texts of a part of a group, and the share of equal samples that makes a link of its forest worth verifying.
 PART, AGREEMENT = 512, 20 / (BANDS * ROWS)
-# Cells of PART texts that a group is dealt to at most; beyond, cells grow and a task compares them tile by tile.
-CELLS_OF_GROUP = 128
-FIRST_BEST = 16
-TILE, BATCH_PAIRS = 512, 4096
+# About so many texts and different shingles of texts go to a cell; a group has as many cells as it needs.
+CELL_TEXTS, CELL_SHINGLES = 2048, 1 << 20
+# Texts by texts, and columns, of one product of matrices.
+TILE, COLUMNS = 512, 4096
+BATCH_PAIRS = 4096
 _CHUNK = 1 << 14
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -163,7 +163,8 @@ def _signed(sent):
                 ends = np.concatenate(([0], np.cumsum(full * BANDS))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), flat)
                 yield pa.RecordBatch.from_arrays(
-                    [cut["doc_id"], cut["digest"], lists, pa.array(drawn, pa.binary())], ["doc_id", "digest", "bands", "samples"]
+                    [cut["doc_id"], cut["digest"], lists, pa.array(drawn, pa.binary()), pa.array(np.diff(offsets))],
+                    ["doc_id", "digest", "bands", "samples", "shingles"],
                 )
 
     return sign
@@ -263,48 +264,138 @@ def _parted(batches):
     yield _packed(out)
 
 
-def crossing(left: np.ndarray, right: np.ndarray, apart: np.ndarray, most: int, least: float = AGREEMENT) -> tuple[np.ndarray, bool]:
-    """Pairs (row on the left, row on the right) that are `apart` and agree enough, the best `most` of a left row; whether that left any out."""
-    equal = agreement(left, right)
-    equal[~apart] = 0
-    enough = equal >= least * left.shape[1] - 1e-9
-    full = np.flatnonzero(enough.sum(1) > most)
-    if len(full):
-        best = np.argpartition(-equal[full], most - 1, axis=1)[:, :most]
-        enough[full] = False
-        enough[full[:, None], best] = True
-    return np.argwhere(enough), len(full) > 0
-
+def _weighted(batches):
+    """(digest, hashes, times) of the texts: their different shingles, ascending, and how often each is there."""
+    for batch in batches:
+        for start, stop in common.slices(batch["text"]):
+            cut = batch.slice(start, stop - start)
+            hashes, times, offsets = common.weighted_set(*common.shingles(cut["text"]))
+            rows = list(zip(offsets[:-1], offsets[1:], strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    cut["digest"],
+                    pa.array([hashes[i:j].tobytes() for i, j in rows], pa.binary()),
+                    pa.array([times[i:j].astype(np.int32).tobytes() for i, j in rows], pa.binary()),
+                ],
+                ["digest", "hashes", "times"],
+            )
 
-def _compared(most: int):
-    """Pairs of different classes in each block of two cells; a row of nulls where a text had more than `most`.
 
-    Rows are (key, i, j, cell, digest, root, samples).
+@dataclass(frozen=True)
+class Sets:
+    """Weighted sets of several texts: flat hashes and times, the text of each, and the weight of each text."""
+
+    hashes: np.ndarray
+    times: np.ndarray
+    owner: np.ndarray
+    total: np.ndarray
+
+    @classmethod
+    def of(cls, rows: list[tuple], known: Frequencies) -> Sets:
+        """From rows that end with hashes and times."""
+        hashes = np.frombuffer(b"".join(r[-2] for r in rows), np.uint64)
+        times = np.frombuffer(b"".join(r[-1] for r in rows), np.int32).astype(np.int64)
+        owner = np.repeat(np.arange(len(rows)), [len(r[-2]) // 8 for r in rows])
+        return cls(hashes, times, owner, np.bincount(owner, known.weights(hashes, times), len(rows)))
+
+    def within(self, hashes: np.ndarray) -> Sets:
+        """Only the shingles among the ascending `hashes`; weights of texts stay whole."""
+        at = np.minimum(np.searchsorted(hashes, self.hashes), max(len(hashes) - 1, 0))
+        kept = hashes[at] == self.hashes if len(hashes) else np.zeros(len(self.hashes), bool)
+        return Sets(self.hashes[kept], self.times[kept], self.owner[kept], self.total)
+
+
+def overlaps(left: Sets, right: Sets, known: Frequencies) -> np.ndarray:
+    """Weight that each text on the left shares with each on the right: the sum of the smaller weights.
+
+    A shingle has a column for each different number of times, with the weight of the step from the
+    number before; a text has all columns up to its own number.
+    """
+    shared = np.zeros((len(left.total), len(right.total)))
+    both = np.intersect1d(left.hashes, right.hashes)
+    left, right = left.within(both), right.within(both)
+    if not len(both):
+        return shared
+    hashes, times = np.concatenate((left.hashes, right.hashes)), np.concatenate((left.times, right.times))
+    order = np.lexsort((times, hashes))
+    hashes, times = hashes[order], times[order]
+    first = np.ones(len(order), bool)
+    first[1:] = (hashes[1:] != hashes[:-1]) | (times[1:] != times[:-1])
+    column = np.empty(len(order), np.int64)
+    column[order] = np.cumsum(first) - 1
+    hashes, times = hashes[first], times[first]
+    opens = np.ones(len(hashes), bool)
+    opens[1:] = hashes[1:] != hashes[:-1]
+    steps = times - np.where(opens, 0, np.concatenate(([0], times[:-1])))
+    weight = known.weights(hashes, np.ones(len(hashes))) * steps
+    begin = np.maximum.accumulate(np.where(opens, np.arange(len(hashes)), 0))
+
+    def filled(owner: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        counts = last - begin[last] + 1
+        cells = np.repeat(begin[last] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        order = np.argsort(cells, kind="stable")
+        return cells[order], np.repeat(owner, counts)[order]
+
+    sides = filled(left.owner, column[: len(left.owner)]), filled(right.owner, column[len(left.owner) :])
+    for start in range(0, len(hashes), COLUMNS):
+        stop = min(start + COLUMNS, len(hashes))
+        held = []
+        for (cells, owner), texts in zip(sides, (left, right), strict=True):
+            low, high = np.searchsorted(cells, (start, stop))
+            matrix = np.zeros((len(texts.total), stop - start))
+            matrix[owner[low:high], cells[low:high] - start] = 1
+            held.append(matrix)
+        shared += (held[0] * weight[start:stop]) @ held[1].T
+    return shared
+
+
+def _joining(sent, threshold: float):
+    """Links (a, b) of each block of two cells that pass and join two classes.
+
+    Rows are (key, i, j, cell, digest, root, hashes, times).
     """
 
-    def compare(batches):
+    def join(batches):
         for rows in _grouped(batches, 3):
             _, i, j = rows[0][:3]
-            sides = [[r for r in rows if r[3] == cell] for cell in (i, j)]
-            if not all(sides):
-                continue
+            sides = [[r for r in rows if r[3] == cell] for cell in ([i] if i == j else [i, j])]
             numbers: dict[bytes, int] = {}
-            roots = [np.array([numbers.setdefault(r[5], len(numbers)) for r in side]) for side in sides]
-            drawn = [_drawn(side) for side in sides]
-            if len(numbers) == 1:
+            roots = [np.array([numbers.setdefault(r[5], len(numbers)) for r in side], np.int64) for side in sides]
+            if len(numbers) == 1 or not all(sides):
                 continue
-            for x in range(0, len(sides[0]), TILE):
-                for y in range(x if i == j else 0, len(sides[1]), TILE):
-                    apart = roots[0][x : x + TILE, None] != roots[1][None, y : y + TILE]
-                    if i == j and x == y:
-                        apart = np.triu(apart, 1)
-                    if apart.any():
-                        pairs, more = crossing(drawn[0][x : x + TILE], drawn[1][y : y + TILE], apart, most)
-                        out = [tuple(sorted((sides[0][x + p][4], sides[1][y + q][4]))) for p, q in pairs.tolist()]
-                        if out:
-                            yield _packed(out + [(None, None)] * more)
+            into = np.arange(len(numbers))  # union-find over the classes of this block
 
-    return compare
+            def top(x: int, into=into) -> int:
+                while into[x] != x:
+                    into[x] = into[into[x]]
+                    x = into[x]
+                return int(x)
+
+            tiles = [[(at, Sets.of(side[at : at + TILE], sent.value)) for at in range(0, len(side), TILE)] for side in sides]
+            out = []
+            for x, left in tiles[0]:
+                for y, right in tiles[-1]:
+                    if i == j and y < x:
+                        continue
+                    while (into[into] != into).any():
+                        into[:] = into[into]
+                    apart = into[roots[0][x : x + TILE]][:, None] != into[roots[-1][y : y + TILE]][None, :]
+                    # Sets of very unlike weights can't be alike, whatever they share.
+                    least, most = np.minimum.outer(left.total, right.total), np.maximum.outer(left.total, right.total)
+                    apart &= least >= (threshold - 1e-9) * most
+                    if not apart.any():
+                        continue
+                    shared = overlaps(left, right, sent.value)
+                    alike = apart & (shared >= threshold * (left.total[:, None] + right.total[None, :] - shared))
+                    for p, q in np.argwhere(alike).tolist():
+                        one, other = top(roots[0][x + p]), top(roots[-1][y + q])
+                        if one != other:
+                            into[other] = one
+                            out.append(tuple(sorted((sides[0][x + p][4], sides[-1][y + q][4]))))
+            if out:
+                yield _packed(out)
+
+    return join
 
 
 def _crowded(own: DataFrame) -> DataFrame:
@@ -322,26 +413,25 @@ def _within_parts(own: DataFrame, crowded: DataFrame) -> DataFrame:
     return common.land(dealt.mapInArrow(_parted, "a BINARY, b BINARY").distinct(), "near-pairs")
 
 
-def _across_classes(own: DataFrame, crowded: DataFrame, rooted: DataFrame, most: int) -> DataFrame:
-    """Pairs (a, b) of a group in different classes that agree enough, the best `most` of a text in each block.
+def _across_classes(own: DataFrame, crowded: DataFrame, rooted: DataFrame, weighted: DataFrame, sent, threshold: float) -> DataFrame:
+    """Links (a, b) between texts of a group in different classes, enough to join all that belong together.
 
     A group is dealt to cells, the texts of its largest class apart from the others, and every cell of the
     others meets every cell, each two in a block of their own. Small groups are one cell.
     """
-    held = crowded.join(rooted, "digest")
-    by_class = held.groupBy("key", "root").agg(F.count(F.lit(1)).alias("own"))
-    groups = (
-        by_class.groupBy("key")
-        .agg(F.sum("own").alias("all"), F.max(F.struct("own", "root")).alias("largest"), F.count(F.lit(1)).alias("classes"))
-        .where("classes > 1")
+    held = _mixed(crowded, rooted).join(own.select("digest", "shingles"), "digest")
+    by_class = held.groupBy("key", "root").agg(F.count(F.lit(1)).alias("texts"), F.sum("shingles").alias("shingles"))
+    total = lambda name: (F.sum(name) - F.max(F.struct("texts", "shingles", "root"))[name]).alias(name)
+    groups = by_class.groupBy("key").agg(
+        total("texts"), total("shingles"), F.max(F.struct("texts", "shingles", "root")).alias("largest")
     )
-    cells = lambda n: F.least(F.ceil(n / PART), F.lit(CELLS_OF_GROUP)).cast("int")
-    one = F.col("all") <= PART
+    cells = lambda texts, shingles: F.greatest(F.ceil(texts / CELL_TEXTS), F.ceil(shingles / CELL_SHINGLES)).cast("int")
+    every = cells(F.col("texts") + F.col("largest.texts"), F.col("shingles") + F.col("largest.shingles"))
     groups = groups.select(
         "key",
-        F.when(~one, F.col("largest.root")).alias("largest"),
-        F.when(one, 1).otherwise(cells(F.col("all") - F.col("largest.own"))).alias("others"),
-        F.when(one, 0).otherwise(cells(F.col("largest.own"))).alias("rest"),
+        F.when(every > 1, F.col("largest.root")).alias("largest"),
+        F.when(every > 1, cells(F.col("texts"), F.col("shingles"))).otherwise(1).alias("others"),
+        F.when(every > 1, cells(F.col("largest.texts"), F.col("largest.shingles"))).otherwise(0).alias("rest"),
     )
     large = F.col("root").eqNullSafe(F.col("largest"))
     number = F.xxhash64("key", "digest")
@@ -351,29 +441,40 @@ def _across_classes(own: DataFrame, crowded: DataFrame, rooted: DataFrame, most:
     dealt = (
         held.join(groups, "key")
         .select("key", "digest", "root", cell.alias("cell"), meets.alias("meets"))
-        .join(own.select("digest", "samples"), "digest")
-        .select("key", F.explode(F.transform("meets", block)).alias("block"), "cell", "digest", "root", "samples")
-        .select("key", "block.i", "block.j", "cell", "digest", "root", "samples")
+        .select("key", F.explode(F.transform("meets", block)).alias("block"), "cell", "digest", "root")
+        .join(weighted, "digest")
+        .select("key", "block.i", "block.j", "cell", "digest", "root", "hashes", "times")
         .repartition("key", "i", "j")
         .sortWithinPartitions("key", "i", "j", "digest")
     )
-    return common.land(dealt.mapInArrow(_compared(most), "a BINARY, b BINARY").distinct(), f"near-across{most}")
+    return common.land(dealt.mapInArrow(_joining(sent, threshold), "a BINARY, b BINARY").distinct(), "near-across")
 
 
-def _checked(texts: DataFrame, distinct: DataFrame, pairs: DataFrame, sent) -> DataFrame:
-    """(a, b, similarity) of the pairs, by their exact similarity."""
+def _mixed(crowded: DataFrame, rooted: DataFrame) -> DataFrame:
+    """(key, digest, root) of the groups that hold more than one class."""
+    held = crowded.join(rooted, "digest")
+    several = held.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    return held.join(several.select("key"), "key", "left_semi").select("key", "digest", "root")
+
+
+def _texts_of(texts: DataFrame, distinct: DataFrame, digests: DataFrame) -> DataFrame:
+    """(digest, text) of these digests, each once."""
     stand_in = F.lit(-(2**63))
-    ends = pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest"))).distinct()
-    needed = distinct.join(ends, "digest").select("digest", F.coalesce("exact_id", stand_in).alias("doc_id"))
+    needed = distinct.join(digests, "digest").select("digest", F.coalesce("exact_id", stand_in).alias("doc_id"))
     once = Window.partitionBy("doc_id", "digest").orderBy("digest")
-    found = common.land(
+    return (
         texts.withColumn("doc_id", F.coalesce("doc_id", stand_in))
         .join(needed, ["doc_id", "digest"], "left_semi")
         .withColumn("turn", F.row_number().over(once))
         .where("turn = 1")
-        .select("digest", "text"),
-        "near-texts",
+        .select("digest", "text")
     )
+
+
+def _checked(texts: DataFrame, distinct: DataFrame, pairs: DataFrame, sent) -> DataFrame:
+    """(a, b, similarity) of the pairs, by their exact similarity."""
+    ends = pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest"))).distinct()
+    found = common.land(_texts_of(texts, distinct, ends), "near-texts")
     both = (
         pairs.join(found.select(F.col("digest").alias("a"), F.col("text").alias("left")), "a")
         .join(found.select(F.col("digest").alias("b"), F.col("text").alias("right")), "b")
@@ -392,15 +493,15 @@ def _rooted(distinct: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def classes(documents: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, digest, exact_id, class_id) of every row, and the verified links between different texts."""
+    """(doc_id, digest, exact_id, class_id) of every row, and verified links (a, b) that join the texts of each class."""
     spark = documents.sparkSession
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), common.digest(F.col("text")).alias("digest"))
     sent = spark.sparkContext.broadcast(frequencies(texts))
     signed = common.land(
-        texts.mapInArrow(_signed(sent), "doc_id LONG, digest BINARY, bands ARRAY<LONG>, samples BINARY"), "near-signed"
+        texts.mapInArrow(_signed(sent), "doc_id LONG, digest BINARY, bands ARRAY<LONG>, samples BINARY, shingles LONG"), "near-signed"
     )
     distinct = common.land(
-        signed.groupBy("digest").agg(F.min("doc_id").alias("exact_id"), F.min(F.struct("samples", "bands")).alias("s")).select("digest", "exact_id", "s.*"),
+        signed.groupBy("digest").agg(F.min("doc_id").alias("exact_id"), F.min(F.struct("samples", "bands", "shingles")).alias("s")).select("digest", "exact_id", "s.*"),
         "near-distinct",
     )
     own = distinct.where("samples IS NOT NULL")
@@ -408,23 +509,19 @@ def classes(documents: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFr
     pairs = _within_parts(own, crowded)
     links = _checked(texts, distinct, pairs, sent)
     common.discard(pairs)
-    rooted = _rooted(distinct, links.where(F.col("similarity") >= threshold))
-    most, more = FIRST_BEST, True
-    while more:
-        across = _across_classes(own, crowded, rooted.select("digest", "root"), most)
-        more = not across.where("a IS NULL").isEmpty()
-        pairs = common.land(across.where("a IS NOT NULL").join(links.select("a", "b"), ["a", "b"], "left_anti"), "near-pairs")
-        if not pairs.isEmpty():
-            fresh = _checked(texts, distinct, pairs, sent)
-            links = links.union(fresh)
-            if not fresh.where(F.col("similarity") >= threshold).isEmpty():
-                before, rooted = rooted, _rooted(distinct, links.where(F.col("similarity") >= threshold))
-                common.discard(before)
-        common.discard(across, pairs)
-        most *= 16
-    common.discard(crowded)
+    edges = links.where(F.col("similarity") >= threshold).select("a", "b")
+    rooted = _rooted(distinct, edges)
+    mixed = _mixed(crowded, rooted.select("digest", "root")).select("digest").distinct()
+    weighted = common.land(
+        _texts_of(texts, distinct, mixed).mapInArrow(_weighted, "digest BINARY, hashes BINARY, times BINARY"), "near-weighted"
+    )
+    across = _across_classes(own, crowded, rooted.select("digest", "root"), weighted, sent, threshold)
+    if not across.isEmpty():
+        edges = edges.union(across)
+        before, rooted = rooted, _rooted(distinct, edges)
+        common.discard(before)
+    common.discard(crowded, weighted)
     sent.destroy()
-    edges = links.where(F.col("similarity") >= threshold)
     named = rooted.groupBy("root").agg(F.min("exact_id").alias("class_id"))
     by_text = common.land(rooted.join(named, "root").select("digest", "exact_id", "class_id"), "near-classes")
     return signed.select("doc_id", "digest").join(by_text, "digest"), edges
@@ -443,17 +540,19 @@ def one_of_each(documents: DataFrame, threshold: float = SIMILARITY) -> DataFram
     """
     found, _ = classes(documents, threshold)
     stand_in = F.lit(-(2**63))
+    own_id, own_digest = common.unused(documents, "near_id"), common.unused(documents, "near_digest")
     kept = (
         found.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
         .groupBy(F.col("class_id"), F.when(F.col("class_id").isNull(), F.col("digest")).alias("own"))
-        .agg(F.min("digest").alias("__digest"))
-        .select(F.coalesce("class_id", stand_in).alias("__id"), "__digest")
+        .agg(F.min("digest").alias(own_digest))
+        .select(F.coalesce("class_id", stand_in).alias(own_id), own_digest)
     )
-    once = Window.partitionBy("__id", "__digest").orderBy("__id")
+    once = Window.partitionBy(own_id, own_digest).orderBy(own_id)
+    turn = common.unused(documents, "near_turn")
     return (
-        documents.withColumns({"__id": F.coalesce("doc_id", stand_in), "__digest": common.digest(F.col("text"))})
-        .join(kept, ["__id", "__digest"], "left_semi")
-        .withColumn("__turn", F.row_number().over(once))
-        .where("__turn = 1")
+        documents.withColumns({own_id: F.coalesce("doc_id", stand_in), own_digest: common.digest(F.col("text"))})
+        .join(kept, [own_id, own_digest], "left_semi")
+        .withColumn(turn, F.row_number().over(once))
+        .where(F.col(turn) == 1)
         .select(*documents.columns)
     )

@@ -172,6 +172,45 @@ def test_no_pair_is_lost_among_many_just_below(spark, docs):
     assert {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs(rows)).collect()} == want
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10**6))
+def test_products_of_matrices_equal_similarities(seed):
+    draw = random.Random(seed)
+    texts = [" ".join(f"w{draw.randrange(3)}" for _ in range(draw.randrange(0, 40))) for _ in range(9)] + ["a " * 70_000, "a " * 90_000 + "b"]
+    known = near_dedup.Frequencies(9, np.maximum(np.random.default_rng(seed).integers(0, 3, (near_dedup.DEPTH, near_dedup.CELLS)), 1))
+    rows = []
+    for text in texts:
+        hashes, times, _ = common.weighted_set(*common.shingles(pa.array([text])))
+        rows.append((hashes.tobytes(), times.astype(np.int32).tobytes()))
+    left, right = near_dedup.Sets.of(rows[:6], known), near_dedup.Sets.of(rows[3:], known)
+    for columns in (3, 4096):
+        near_dedup.COLUMNS, before = columns, near_dedup.COLUMNS
+        shared = near_dedup.overlaps(left, right, known)
+        near_dedup.COLUMNS = before
+        for i, a in enumerate(texts[:6]):
+            for j, b in enumerate(texts[3:]):
+                if a and b:
+                    alike = shared[i, j] / (left.total[i] + right.total[j] - shared[i, j])
+                    assert np.isclose(alike, near_dedup.similarities(pa.array([a]), pa.array([b]), known)[0])
+
+
+def test_cells_of_any_size_give_the_same_classes(spark, docs, monkeypatch):
+    rows = families(5, 80, 300, 2, 3) + [(5000 + i, families(6, 1, 300, 0, 0)[0][1] + f" y{i}") for i in range(30)]
+    want, passing = all_pairs(rows, near_dedup.frequencies(docs(rows).select("text")))
+    monkeypatch.setattr(near_dedup, "CELL_TEXTS", 7)
+    monkeypatch.setattr(near_dedup, "TILE", 3)
+    monkeypatch.setattr(near_dedup, "PART", 5)
+    assert passing > 5
+    assert {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs(rows)).collect()} == want
+
+
+def test_clashing_columns_stay(docs):
+    frame = docs([(1, "a b"), (2, "a b"), (3, None)]).withColumnsRenamed({"score": "near_id", "digest": "near_digest", "toxic": "Near_Turn"})
+    kept = near_dedup.one_of_each(frame)
+    assert kept.columns == frame.columns
+    assert sorted((r.doc_id, r.near_id, r.near_digest, r["Near_Turn"]) for r in kept.collect()) == [(1, "s", "d", "t"), (3, "s", "d", "t")]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(alphabet="aB \t\n\x0b\x0c\r\x1c\x85\xa0 　é", max_size=8), min_size=1, max_size=8), st.integers(0, 7))
 def test_words_do_not_depend_on_neighbours(texts, first):
