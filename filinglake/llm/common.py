@@ -218,7 +218,7 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     both = lambda e: e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     found = land(edges.select("a", "b").where("a <> b").distinct(), f"{label}-edges")
     seen = None
-    while True:
+    while not found.isEmpty():
         edges = found
         spread = both(found)
         least = spread.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -232,7 +232,8 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         # The sum of the hashes of all edges tells whether the round moved any.
         now = found.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == seen:
-            return found.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
-                found.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-            )
+            break
         seen = now
+    return found.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
+        found.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+    )

@@ -492,6 +492,15 @@ def _rooted(distinct: DataFrame, edges: DataFrame) -> DataFrame:
     return common.land(rooted.withColumn("root", F.coalesce("root", "digest")), "near-rooted")
 
 
+def _rejoined(rooted: DataFrame, edges: DataFrame) -> DataFrame:
+    """`rooted` after `edges` have joined some of its classes: only their roots are followed."""
+    end = lambda name: rooted.select(F.col("digest").alias(name), F.col("root").alias(f"root_{name}"))
+    between = edges.join(end("a"), "a").join(end("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+    roots = common.components(between, "near-roots").select(F.col("node").alias("root"), F.col("root").alias("top"))
+    joined = rooted.join(roots, "root", "left").withColumn("root", F.coalesce("top", "root"))
+    return common.land(joined.select("digest", "exact_id", "root"), "near-rooted")
+
+
 def classes(documents: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(doc_id, digest, exact_id, class_id) of every row, and verified links (a, b) that join the texts of each class."""
     spark = documents.sparkSession
@@ -518,7 +527,7 @@ def classes(documents: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFr
     across = _across_classes(own, crowded, rooted.select("digest", "root"), weighted, sent, threshold)
     if not across.isEmpty():
         edges = edges.union(across)
-        before, rooted = rooted, _rooted(distinct, edges)
+        before, rooted = rooted, _rejoined(rooted, across)
         common.discard(before)
     common.discard(crowded, weighted)
     sent.destroy()
