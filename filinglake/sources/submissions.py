@@ -62,10 +62,21 @@ def read_submissions(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+# The header fields of a submission.
+ACCESSION_NUMBER = r"(?m)^ACCESSION NUMBER:\s*(\S+)"
+ACCEPTANCE_DATETIME = r"<ACCEPTANCE-DATETIME>(\d{14})"
+FILED_AS_OF_DATE = r"(?m)^FILED AS OF DATE:\s*(\d{8})"
+
+
 def _header(raw: Column, pattern: str) -> Column:
     return F.nullif(F.regexp_extract(raw, pattern, 1), F.lit(""))
 
 
+def accession_of(raw: Column) -> Column:
+    """Accession in the header of a submission's text, null if it has none."""
+    return _header(raw, ACCESSION_NUMBER)
+
+
 def _parsed(documents: DataFrame) -> DataFrame:
     c = F.col
     start = F.instr("raw", F.lit(_OPEN))
@@ -78,9 +89,9 @@ def _parsed(documents: DataFrame) -> DataFrame:
     parsed = F.from_xml(body, DOCUMENT, {"rowTag": "ownershipDocument", "mode": "PERMISSIVE"})
     return documents.select(
         *[c(name) for name in documents.columns],
-        _header(c("raw"), r"(?m)^ACCESSION NUMBER:\s*(\S+)").alias("accession"),
-        dates.acceptance_instant(_header(c("raw"), r"<ACCEPTANCE-DATETIME>(\d{14})")).alias("_accepted"),
-        dates.compact_date(_header(c("raw"), r"(?m)^FILED AS OF DATE:\s*(\d{8})")).alias("_filed"),
+        accession_of(c("raw")).alias("accession"),
+        dates.acceptance_instant(_header(c("raw"), ACCEPTANCE_DATETIME)).alias("_accepted"),
+        dates.compact_date(_header(c("raw"), FILED_AS_OF_DATE)).alias("_filed"),
         body.isNotNull().alias("_has_body"),
         F.explode(F.array(parsed)).alias("_doc"),
     )
