@@ -361,10 +361,10 @@ _NPORT = """
 
 def _nport(t: Tables, check: bool = False) -> tuple[DataFrame, DataFrame]:
     holdings = tsv.strict_records(
-        t.nport_holding_lines, schemas.MEMBERS_NPORT["FUND_REPORTED_HOLDING.tsv"], check=check
+        t.nport_holding_lines, schemas.MEMBERS_NPORT["FUND_REPORTED_HOLDING.tsv"], check=check, leading=F.col("ord") < 0
     )
     identifiers = tsv.strict_records(
-        t.nport_identifier_lines, schemas.MEMBERS_NPORT["IDENTIFIERS.tsv"], check=check
+        t.nport_identifier_lines, schemas.MEMBERS_NPORT["IDENTIFIERS.tsv"], check=check, leading=F.col("ord.f0") == 0
     )
     return holdings, identifiers
 
@@ -434,6 +434,16 @@ def l2(t: Tables) -> DataFrame:
     return figi.lookup_batches(t.inst_holdings, figi.BATCH, buckets=8)
 
 
+@register(
+    "l2_global_batches",
+    sql="""WITH d AS (SELECT DISTINCT lpad(CAST(l_partkey AS VARCHAR), 9, '0') AS cusip FROM lineitem),
+                r AS (SELECT *, row_number() OVER (ORDER BY cusip) AS k FROM d)
+           SELECT CAST((k - 1) // 100 AS BIGINT) AS batch, string_agg(cusip, ',' ORDER BY cusip) AS cusips FROM r GROUP BY 1""",
+)
+def l2_global(t: Tables) -> DataFrame:
+    return figi.lookup_batches(t.inst_holdings, figi.BATCH_WITH_KEY)
+
+
 # ---- merges ----------------------------------------------------------------------------------
 
 

@@ -40,6 +40,6 @@ def register(name: str, views: list[str] | None = None, sql: str | None = None):
 
 
 def all_queries() -> dict[str, Query]:
-    from filinglake.catalog import queries_audit, queries_jobs, queries_sources  # noqa: F401
+    from filinglake.catalog import queries_audit, queries_jobs, queries_lake, queries_sources  # noqa: F401
 
     return dict(sorted(_REGISTERED.items()))

@@ -8,6 +8,7 @@ from pyspark.sql import Window
 
 from filinglake.functions import text
 from filinglake.operators.incremental import bucket_of
+from filinglake.operators.ranks import batches
 
 # Jobs per request without and with a key.
 BATCH = 10
@@ -54,13 +55,15 @@ def share_class(venues: DataFrame) -> DataFrame:
 
 
 def lookup_batches(
-    holdings: DataFrame, size: int = BATCH, buckets: int = 1, cusip: str = "cusip"
+    holdings: DataFrame, size: int = BATCH, buckets: int | None = None, cusip: str = "cusip"
 ) -> DataFrame:
     """Distinct CUSIPs in batches of `size` for an external lookup (L2).
 
-    Batches are numbered within stable hash buckets; each bucket is one window, so `buckets`
-    sets the parallelism. With one bucket the batches are the sorted list cut in order.
+    The batches are the sorted list cut in order, numbered over any number of tasks. With `buckets`
+    they are cut within stable hash buckets instead, so that a new CUSIP shifts only its bucket.
     """
+    if buckets is None:
+        return batches(holdings, cusip, size).withColumnRenamed(cusip, "cusips")
     distinct = holdings.select(cusip).distinct().withColumn("bucket", bucket_of(F.col(cusip), buckets))
     ranked = distinct.withColumn(
         "rank", F.row_number().over(Window.partitionBy("bucket").orderBy(cusip))

@@ -69,6 +69,12 @@ def _check_headers(headers: DataFrame, required: Sequence[str], member: str) ->
         raise BrokenRows(f"{member}: {count} file(s) lack columns, e.g. {detail}")
 
 
+def _headless(lines: DataFrame, leading: Column) -> DataFrame:
+    """Files whose leading lines are all empty, with a header of no cells."""
+    filled = lines.filter(leading).groupBy("archive_key").agg(F.bool_or(F.col("line") != "").alias("_filled"))
+    return filled.filter(~F.col("_filled")).select("archive_key", F.array().cast("array<string>").alias("_header"))
+
+
 def _with_header(lines: DataFrame, headers: DataFrame) -> DataFrame:
     # One row per file: adaptive execution broadcasts it while it is small.
     joined = lines.join(headers, "archive_key")
@@ -116,14 +122,20 @@ def strict_records(
     columns: Sequence[str],
     check: bool = True,
     member: str = "member",
+    leading: Column | None = None,
 ) -> DataFrame:
     """Rows by column name plus `malformed`: the line is not as wide as its header (S3).
 
-    The header is a file's first line that is not empty. A tab inside a cell shifts every later cell, so such a row is kept for counting but its
+    The header is a file's first line that is not empty. `leading` marks the lines among which it is
+    in every file, for instance the first ten of landed members: then no pass over all lines looks for
+    it, and a file without a filled line among these is refused or, unchecked, has no rows. A tab inside a cell shifts every later cell, so such a row is kept for counting but its
     cells are null. Empty lines are skipped; of two columns with one name the first counts.
     """
-    headers = _headers(lines.filter(F.col("line") != ""), None)
+    filled = F.col("line") != ""
+    headers = _headers(lines.filter(filled if leading is None else leading & filled), None)
     if check:
+        if leading is not None:
+            _check_headers(_headless(lines, leading), columns, member)
         _check_headers(headers, columns, member)
     at = [(F.array_position("_header", name) - 1).cast("int").alias(f"_at_{name}") for name in columns]
     placed = _with_header(

@@ -1,7 +1,7 @@
 import json
 
 from filinglake import schemas
-from filinglake.operators import crosswalk, figi
+from filinglake.operators import crosswalk, figi, ranks
 from filinglake.sources import figi as responses
 from filinglake.sources import tsv
 
@@ -84,5 +84,9 @@ def test_batches_hold_each_cusip_once(spark):
     df = spark.createDataFrame([(f"C{n % 37:02d}",) for n in range(500)], "cusip STRING")
     one = figi.lookup_batches(df, 10).orderBy("batch").collect()
     assert [len(r.cusips) for r in one] == [10, 10, 10, 7] and one[0].cusips[0] == "C00"
+    spread = figi.lookup_batches(df, 10).orderBy("batch").collect()
+    assert [c for r in spread for c in r.cusips] == [f"C{n:02d}" for n in range(37)]
+    small = ranks.batches(df, "cusip", 10, part_rows=5).orderBy("batch").collect()
+    assert [(r.batch, r.cusip) for r in small] == [(r.batch, r.cusips) for r in spread]
     many = [c for r in figi.lookup_batches(df, 10, buckets=4).collect() for c in r.cusips]
     assert sorted(many) == sorted({f"C{n:02d}" for n in range(37)})
