@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from filinglake import schemas
 from filinglake.operators.checks import BrokenRows, Checked
+from filinglake.sinks.lake import _file_system
 
 # Fields of a manifest. Numbers are read as text first, so that a wrong type is
 # reported instead of becoming null.
@@ -103,7 +104,7 @@ def read_snapshot_file(spark: SparkSession, path: str) -> DataFrame:
 
 
 def select_files(files: DataFrame, table: str | None = None, year: int | None = None) -> DataFrame:
-    """The files of a slice. Publishing and verifying share this, so they cannot disagree."""
+    """The files of a slice; `verify_slice` reads these and no others."""
     if table is not None:
         files = files.filter(F.col("table") == table)
     if year is not None:
@@ -153,3 +154,31 @@ def scan_contents(spark: SparkSession, root: str) -> DataFrame:
     )
     relative = F.concat(F.lit(FOLDER), F.substring_index("path", f"/{FOLDER}", -1))
     return files.select(relative.alias("path"), "content")
+
+
+def slice_contents(spark: SparkSession, root: str, chosen: DataFrame) -> DataFrame:
+    """(path, content) of those of the chosen files that are there; nothing else is opened.
+
+    Their folders are listed, so that an absent file is a missing row and no error.
+    """
+    base = root.rstrip("/")
+    wanted = sorted(r.publicPath for r in chosen.select("publicPath").distinct().collect())  # one row a file
+    there = set()
+    for folder in sorted({path.rpartition("/")[0] for path in wanted}):
+        fs, at = _file_system(spark, f"{base}/{folder}")
+        if fs.exists(at):
+            there |= {f"{folder}/{status.getPath().getName()}" for status in fs.listStatus(at) if status.isFile()}
+    paths = [f"{base}/{path}" for path in wanted if path in there]
+    if not paths:
+        return spark.createDataFrame([], "path STRING, content BINARY")
+    files = spark.read.format("binaryFile").load(paths)
+    relative = F.concat(F.lit(FOLDER), F.substring_index("path", f"/{FOLDER}", -1))
+    return files.select(relative.alias("path"), "content")
+
+
+def verify_slice(
+    spark: SparkSession, files: DataFrame, root: str, table: str | None = None, year: int | None = None
+) -> DataFrame:
+    """Every manifest file of a table, a year or both with its status, by reading only these files."""
+    chosen = require_files(files, table, year)
+    return verify_files(chosen, slice_contents(spark, root, chosen))

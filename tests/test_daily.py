@@ -1,9 +1,13 @@
 """The index-driven refresh: listing, landing and limits in any order, restarts, reports."""
 
+import hashlib
+
 import pytest
 from test_sources import LEGS, submission
 
+from filinglake.operators.checks import BrokenRows
 from filinglake.sinks import lake, versions
+from filinglake.sources import manifest
 from filinglake.streaming import daily
 
 HEAD = "Form Type   Company Name   CIK   Date Filed   File Name\n" + "-" * 80 + "\n"
@@ -81,3 +85,23 @@ def test_a_limit_defers_and_a_stopped_pass_is_done_again(spark, paths, monkeypat
     now = versions.snapshot(spark, paths.lake)
     assert held(spark, paths) == ["A", "B", "C"] and now.rows("insider_transactions").count() == 9
     assert lake.remove(spark, []) is None
+
+
+def test_a_slice_is_verified_by_its_own_files(spark, tmp_path):
+    root = tmp_path / "data"
+    (root / "insider" / "2020").mkdir(parents=True)
+    rows = []
+    for year, name, text in ((2020, "a", "one"), (2020, "b", "two"), (2020, "c", None), (2021, "d", "four")):
+        path = f"data/insider/{year}/{name}.parquet"
+        rows.append(("s", "insider_filings", year, path, len(text or ""), hashlib.sha256((text if text != "two" else "x").encode() if text else b"").hexdigest()))
+        if text and year == 2020:
+            (tmp_path / path).write_text(text)
+    (root / "insider" / "2020" / "unlisted.parquet").write_text("?")
+    files = spark.createDataFrame(rows, "snapshot_id STRING, table STRING, year INT, publicPath STRING, size LONG, sha256 STRING")
+    found = {r.publicPath[-9:]: r.status for r in manifest.verify_slice(spark, files, str(tmp_path), "insider_filings", 2020).collect()}
+    assert found == {"a.parquet": "ok", "b.parquet": "different", "c.parquet": "missing"}
+    assert [r.path for r in manifest.slice_contents(spark, str(tmp_path), files.where("year = 2020")).select("path").orderBy("path").collect()] == [
+        "data/insider/2020/a.parquet", "data/insider/2020/b.parquet"]
+    assert [r.status for r in manifest.verify_slice(spark, files, str(tmp_path), year=2021).collect()] == ["missing"]
+    with pytest.raises(BrokenRows):
+        manifest.verify_slice(spark, files, str(tmp_path), "insider_filings", 1999)
