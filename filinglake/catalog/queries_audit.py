@@ -9,7 +9,8 @@ from filinglake.catalog import oracle_text as o
 from filinglake.catalog.registry import register
 from filinglake.catalog.views import Tables
 from filinglake.operators import integrity
-from filinglake.operators.keyed import side_by_side
+from filinglake.plans import audit
+from filinglake.session import work_path
 from filinglake.sources import manifest
 
 _LAG = 'date_diff(\'day\', "periodOfReport", "filingDate")'
@@ -105,6 +106,18 @@ _HOLDINGS_COUNTERS = [
     "filings", "holdings", "orphanHoldings", "noticeFilingsWithHoldings", "nullManagerFilings",
     "nullIssuerHoldings", "zeroPositionHoldings", "placeholderCusips", "figiCoverage",
 ]
+_INSIDER_COUNTERS = [
+    "filings", "transactions", "orphanTransactions", "futureDatedTransactions", "nullTickerTransactions",
+    "nullSharesTransactions", "negativeAmounts", "amendmentsWithoutOriginalDate",
+]
+
+
+def _audited(t: Tables, dataset: str, filings: DataFrame, rows: DataFrame) -> DataFrame:
+    """All windows put into a state of their own, and the rollup of that state."""
+    state = audit.AuditState(t.spark, work_path(t.spark, "audit-state"), dataset)
+    names = filings.select("window", F.col("window").alias("key")).distinct()
+    state.put(names, filings, rows)
+    return state.rollup()
 
 
 @register(
@@ -121,10 +134,25 @@ _HOLDINGS_COUNTERS = [
         FROM report""",
 )
 def a11(t: Tables) -> DataFrame:
-    total = integrity.rollup(
-        _holdings_report(t), _HOLDINGS_COUNTERS, ["putCall", "submissionTypes"], "duplicateHoldingKeys"
-    )
-    return side_by_side(total, integrity.accession_spread(t.inst_filings))
+    return _audited(t, "form13f", t.inst_filings, t.inst_holdings)
+
+
+@register(
+    "a11_insider_rollup",
+    ["insider_filings", "insider_transactions"],
+    f"""WITH {_INSIDER_AUDIT},
+        top AS (SELECT * FROM sampled ORDER BY "window", ord LIMIT 20),
+        lapping AS (SELECT "window", "minFilingDate" AS lo, lag("window") OVER w AS previous, lag("maxFilingDate") OVER w AS before
+                    FROM report WINDOW w AS (ORDER BY "minFilingDate" NULLS FIRST, "window"))
+        SELECT count(*) AS windows, {', '.join(f'CAST(sum("{c}") AS BIGINT) AS "{c}"' for c in _INSIDER_COUNTERS)},
+               (SELECT {_inventory('c')} FROM (SELECT coalesce("transactionCode", 'NULL') AS c, count(*) AS n FROM legs WHERE day IS NOT NULL GROUP BY 1)) AS "transactionCodes",
+               (SELECT coalesce(string_agg(k, ',' ORDER BY "window", ord), '') FROM top) AS "duplicateFilingKeys",
+               (SELECT coalesce(string_agg(previous || '[' || before || '] x ' || "window" || '[' || lo || ']', ',' ORDER BY lo, "window"), '')
+                FROM lapping WHERE lo <= before) AS "boundaryOverlaps"
+        FROM report""",
+)
+def a11_insider(t: Tables) -> DataFrame:
+    return _audited(t, "form345", t.insider_filings, t.insider_transactions)
 
 
 @register(
@@ -154,6 +182,23 @@ def j12(t: Tables) -> DataFrame:
     return integrity.coverage(objects, t.labels_done, "form13f", "raw/sec13f/datasets")
 
 
+@register(
+    "j12_gate",
+    ["inst_filings", "labels_done"],
+    """WITH raw AS (SELECT DISTINCT string_split("rawArchiveKey", '/')[4] AS label FROM inst_filings),
+            done AS (SELECT DISTINCT substr(identity, 9) AS label FROM labels_done),
+            missing AS (SELECT label FROM done WHERE label NOT IN (SELECT label FROM raw)),
+            unreceipted AS (SELECT label FROM raw WHERE label NOT IN (SELECT label FROM done))
+       SELECT (SELECT count(*) FROM missing) = 0 AS passes, (SELECT count(*) FROM missing) AS missing,
+              (SELECT coalesce(string_agg(label, ',' ORDER BY label), '') FROM (SELECT label FROM missing ORDER BY label LIMIT 3)) AS sample,
+              (SELECT coalesce(string_agg('form13f:' || label, ',' ORDER BY label), '') FROM unreceipted) AS unreceipted""",
+)
+def j12_gate(t: Tables) -> DataFrame:
+    objects = t.inst_filings.select(F.col("rawArchiveKey").alias("key"))
+    found = integrity.coverage(objects, t.labels_done, "form13f", "raw/sec13f/datasets")
+    return integrity.gate_verdict(found, "form13f")
+
+
 @register(
     "j13_digest_check",
     sql="""SELECT CASE WHEN page_id % 11 = 0 THEN 'missing' WHEN page_id % 7 = 0 THEN 'different' ELSE 'ok' END AS status,

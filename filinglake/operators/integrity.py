@@ -52,16 +52,21 @@ def lag_days(filed: str = "filingDate", period: str = "periodOfReport") -> Colum
 def repeated_keys(df: DataFrame, order: Column | str) -> DataFrame:
     """Rows whose (window, accession, infoTableSk) was seen before: up to SAMPLE per key.
 
-    More than SAMPLE repeats of one key cannot enter a list of SAMPLE, so the ranking filter is
-    exact, and it lets each task forget the rest of a hot key.
+    Hashes of keys are counted first, combined before a shuffle of eight bytes a key; only rows whose
+    hash came twice are ranked, by the key itself, so two keys with one hash stay apart. More than
+    SAMPLE repeats of one key cannot enter a list of SAMPLE, so the ranking filter is exact, and it
+    lets each task forget the rest of a hot key.
     """
-    by_key = Window.partitionBy("window", "accession", "infoTableSk").orderBy("_ord")
+    key = ["window", "accession", "infoTableSk"]
+    rows = df.select(*key, as_column(order).alias("_ord"), F.xxhash64(*key).alias("_hash"))
+    again = rows.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_hash")
+    by_key = Window.partitionBy(*key).orderBy("_ord")
     return (
-        df.select("window", "accession", "infoTableSk", as_column(order).alias("_ord"))
+        rows.join(again, "_hash", "left_semi")
         .withColumn("_nth", F.row_number().over(by_key))
         .filter(F.col("_nth") <= SAMPLE + 1)
         .filter(F.col("_nth") > 1)
-        .select("window", F.concat_ws("/", "accession", "infoTableSk").alias("entry"), "_ord")
+        .select("window", "accession", F.concat_ws("/", "accession", "infoTableSk").alias("entry"), "_ord")
     )
 
 
@@ -75,7 +80,6 @@ def holdings_integrity(filings: DataFrame, holdings: DataFrame, order: Column |
     c = F.col
     filed = filings.select("window", "accession").distinct().withColumn("_filed", F.lit(True))
     matched = holdings.join(filed, ["window", "accession"], "left")
-    kept = matched.filter(c("_filed").isNotNull())
     # One pass at (window, known, cusip, put/call); its sums by CUSIP and by put/call then give
     # every counter and the inventory, without reading the holdings again.
     empty = (F.coalesce("value", F.lit(0.0)) == 0) & (F.coalesce("sharesAmount", F.lit(0.0)) == 0)
@@ -110,9 +114,9 @@ def holdings_integrity(filings: DataFrame, holdings: DataFrame, order: Column |
             F.array_sort(F.collect_list(F.when(by_code & c("known"), F.struct("pc", c("_n").alias("n")))))
         ).alias("putCall"),
     )
-    duplicates = _first(
-        repeated_keys(kept, order), ["window"], "entry", "_ord", "duplicateHoldingKeys"
-    )
+    # All rows of a key are known or none is, so orphans may be left out after the few repeats are found.
+    repeats = repeated_keys(holdings, order).join(filed, ["window", "accession"], "left_semi")
+    duplicates = _first(repeats, ["window"], "entry", "_ord", "duplicateHoldingKeys")
 
     notice = (
         filings.filter(c("submissionType").startswith(NOTICE))
@@ -298,6 +302,18 @@ def boundary_overlaps(report: DataFrame) -> DataFrame:
     )
 
 
+def listed_overlaps(report: DataFrame) -> DataFrame:
+    """One row: the overlaps as a list of `before[last day] x after[first day]`, by first day."""
+    c = F.col
+    text = F.concat(
+        c("previous"), F.lit("["), c("previousMax").cast("string"), F.lit("] x "),
+        c("window"), F.lit("["), c("minFilingDate").cast("string"), F.lit("]"),
+    )
+    found = boundary_overlaps(report).select(F.struct("minFilingDate", "window", text.alias("text")).alias("at"))
+    listed = F.transform(F.array_sort(F.collect_list("at")), lambda e: e["text"])
+    return found.agg(listed.alias("boundaryOverlaps"))
+
+
 def filing_lags(submissions: DataFrame) -> DataFrame:
     """Days from period to filing for originals and amendments.
 
@@ -339,3 +355,30 @@ def coverage(objects: DataFrame, ledger: DataFrame, dataset: str, prefix: str) -
             expected.join(done, "identity", "left_anti").select("label", F.lit("unreceipted").alias("status"))
         )
     )
+
+
+class MissingRaw(ValueError):
+    """Finished windows whose raw archive is not there."""
+
+
+def gate_verdict(found: DataFrame, dataset: str) -> DataFrame:
+    """One row from a coverage: may the audit go on, what is missing, what has no ledger row.
+
+    `found` holds windows, one row per archive at most, so the lists are short.
+    """
+    missing = F.array_sort(F.collect_list(F.when(F.col("status") == "missing_raw", F.col("label"))))
+    open_ = F.collect_list(F.when(F.col("status") == "unreceipted", F.concat(F.lit(f"{dataset}:"), F.col("label"))))
+    listed = found.agg(missing.alias("_missing"), F.array_sort(open_).alias("unreceipted"))
+    return listed.select(
+        (F.size("_missing") == 0).alias("passes"),
+        F.size("_missing").cast("long").alias("missing"),
+        F.slice("_missing", 1, 3).alias("sample"),
+        "unreceipted",
+    )
+
+
+def require_covered(verdict: DataFrame) -> None:
+    """Refuse an audit that would pass over finished windows in silence."""
+    row = verdict.first()
+    if not row.passes:
+        raise MissingRaw(f"no raw archive for {row.missing} finished window(s), e.g. {', '.join(row.sample)}")

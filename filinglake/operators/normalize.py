@@ -212,7 +212,7 @@ def submission_rejects(submission: DataFrame) -> DataFrame:
     return split_broken("submission", rows, rules, {"accession": c("accession")}, F.coalesce("accession", F.lit("(none)"))).rejects
 
 
-def filings_insider(submission: DataFrame, owners: DataFrame) -> Checked:
+def filings_insider(submission: DataFrame, owners: DataFrame, keep: Sequence[str] = ()) -> Checked:
     """Insider filings: one row per accession and reporting owner.
 
     Rejects name every broken submission row as well as every broken owner row.
@@ -243,6 +243,7 @@ def filings_insider(submission: DataFrame, owners: DataFrame) -> Checked:
         "SUBMISSION DATE_OF_ORIG_SUB": c("original_broken"),
         "REPORTINGOWNER RPTOWNERCIK": typed("ownerCik").isNull(),
     }
+    columns.update({name: c(name) for name in keep})
     found = split_broken("insider_filings", joined, rules, columns, c("accession"))
     return Checked(found.table, found.rows, submission_rejects(submission).unionByName(found.rejects))
 

@@ -42,11 +42,13 @@ def institutional_rows(
     )
 
 
-def insider_rows(lines: DataFrame, check: bool = True) -> tuple[Checked, Checked]:
-    """Insider filings and transactions of landed archives."""
+def insider_rows(
+    lines: DataFrame, check: bool = True, keep: Sequence[str] = ()
+) -> tuple[Checked, Checked]:
+    """Insider filings and transactions of landed archives; `keep=["ord"]` adds the filings' file order."""
     m = member_records(lines, schemas.MEMBERS_345, check)
     return (
-        normalize.filings_insider(m["SUBMISSION.tsv"], m["REPORTINGOWNER.tsv"]),
+        normalize.filings_insider(m["SUBMISSION.tsv"], m["REPORTINGOWNER.tsv"], keep),
         normalize.transactions_insider(
             m["SUBMISSION.tsv"], m["NONDERIV_TRANS.tsv"], m["DERIV_TRANS.tsv"]
         ),
