@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filinglake.operators.keyed import as_column, side_by_side
-from filinglake.operators.quantiles import floor_quantiles
+from filinglake.operators.quantiles import floor_quantiles, level_quantile
 
 # Entries in a sample list, the placeholder CUSIP, the notice form prefix.
 SAMPLE = 20
@@ -70,6 +70,34 @@ def repeated_keys(df: DataFrame, order: Column | str) -> DataFrame:
     )
 
 
+def _filing_counters(filings: DataFrame) -> DataFrame:
+    """Per window: filings, nameless managers, types and quantiles of the lag, from one pass.
+
+    Counts per (type, lag) are summed by type and by lag; both are few, whatever the row count.
+    """
+    c = F.col
+    base = filings.groupBy("window", "submissionType", lag_days().alias("lag")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.coalesce("managerName", F.lit("")) == "").alias("nameless")
+    )
+    sums = base.groupingSets(
+        [["window", "submissionType"], ["window", "lag"]], "window", "submissionType", "lag"
+    ).agg(F.grouping("lag").alias("by_type"), F.sum("n").alias("_n"), F.sum("nameless").alias("_nameless"))
+    by_type = c("by_type") == 1
+    level = F.when(~by_type & c("lag").isNotNull(), F.struct(c("lag").alias("value"), c("_n").alias("n")))
+    counted = sums.groupBy("window").agg(
+        F.sum(F.when(by_type, c("_n"))).alias("filings"),
+        F.sum(F.when(by_type, c("_nameless"))).alias("nullManagerFilings"),
+        F.map_from_entries(
+            F.array_sort(F.collect_list(F.when(by_type & c("submissionType").isNotNull(), F.struct("submissionType", "_n"))))
+        ).alias("submissionTypes"),
+        F.array_sort(F.collect_list(level)).alias("_levels"),
+    )
+    return counted.select(
+        "window", "filings", "nullManagerFilings", "submissionTypes",
+        *[level_quantile(c("_levels"), q).alias(f"lag_{name}") for name, q in LAG_QUANTILES.items()],
+    )
+
+
 def holdings_integrity(filings: DataFrame, holdings: DataFrame, order: Column | str) -> DataFrame:
     """One row per window with the counters of the 13F audit.
 
@@ -120,26 +148,13 @@ def holdings_integrity(filings: DataFrame, holdings: DataFrame, order: Column |
 
     notice = (
         filings.filter(c("submissionType").startswith(NOTICE))
-        .join(holdings.select("window", "accession").distinct(), ["window", "accession"], "left_semi")
+        .select("window", "accession")
+        .join(holdings.select("window", "accession"), ["window", "accession"], "left_semi")
         .groupBy("window")
         .agg(F.count(F.lit(1)).alias("noticeFilingsWithHoldings"))
     )
-    filing_counts = filings.groupBy("window").agg(
-        F.count(F.lit(1)).alias("filings"),
-        F.count_if(F.coalesce("managerName", F.lit("")) == "").alias("nullManagerFilings"),
-    )
-    types = _inventory(
-        filings.groupBy("window", "submissionType").agg(F.count(F.lit(1)).alias("_n")),
-        ["window"],
-        c("submissionType"),
-        "submissionTypes",
-    )
-    lags = floor_quantiles(
-        filings.select("window", lag_days().alias("lag")), ["window"], "lag", LAG_QUANTILES
-    ).select("window", *[c(q).alias(f"lag_{q}") for q in LAG_QUANTILES])
-
-    both = filing_counts.join(counters, "window", "full")
-    joined = _join_windows([both, duplicates, types, notice, lags])
+    both = _filing_counters(filings).join(counters, "window", "full")
+    joined = _join_windows([both, duplicates, notice])
     zero = [
         "filings", "holdings", "distinctCusips", "orphanHoldings", "noticeFilingsWithHoldings",
         "nullManagerFilings", "nullIssuerHoldings", "zeroPositionHoldings", "placeholderCusips",

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -36,6 +36,22 @@ def floor_quantiles(
     )
 
 
+def level_quantile(levels: Column, q: float) -> Column:
+    """The value at 0-based rank min(n-1, floor(q*n)) of sorted (value, n) structs, or null."""
+    total = F.aggregate(levels, F.lit(0).cast("long"), lambda n, level: n + level["n"])
+    rank = F.least(total - 1, F.floor(F.lit(q) * total))
+    # The first level is at rank 0; each further one begins where the counts before it end.
+    start = F.struct(F.lit(0).cast("long").alias("before"), F.get(levels, F.lit(0))["value"].alias("value"))
+
+    def step(state: Column, level: Column) -> Column:
+        return F.struct(
+            (state["before"] + level["n"]).alias("before"),
+            F.when(state["before"] <= rank, level["value"]).otherwise(state["value"]).alias("value"),
+        )
+
+    return F.aggregate(levels, start, step, lambda state: state["value"])
+
+
 # Bins per factor e. A bin spans 0.1 % of its value, so it holds a sliver of any real group.
 _BINS = 1000
 
