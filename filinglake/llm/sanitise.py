@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 from filinglake.llm import common, spans
 
 KINDS = ["email", "ip", "card", "phone"]
-# Fixed patterns of the contract, with possessive quantifiers where giving back can't help a match.
+# Fixed patterns of the contract, with possessive quantifiers where giving back can't help a match. A run of
+# characters that may begin a match is tried once: at its start, or where the last match ended.
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-    "ip": r"[0-9]++(?:\.[0-9]++){3}",
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "ip": r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -147,3 +148,24 @@ def test_places_are_code_points(docs):
     text = F.col("text")
     row = docs([(1, "😀é x12 😀 345")]).select(spans.matches(spans.clean(text), "[0-9]+").alias("m")).first()
     assert [(m.start, m.end, m.value) for m in row.m] == [(4, 6, "12"), (9, 12, "345")]
+
+
+def test_long_runs_and_many_matches_take_linear_time(docs):
+    letters, digits = "a" * 1_000_000 + "!x@y.org", "1" * 1_000_000 + "a 1.2.3.4"
+    many = " ".join(f"u{i}@ex.org" for i in range(50_000))
+    started = time.monotonic()
+    own = [sanitise.base_spans(spans.clean(F.col("text")))[kind] for kind in ("email", "ip")]
+    rows = docs([(1, letters), (2, digits), (3, many)]).select("doc_id", F.transform(own[0], lambda s: s["start"]).alias("mail"), F.size(own[1]).alias("ips"))
+    found = {r.doc_id: r for r in rows.collect()}
+    # Squares of these lengths would take hours; most of the bound is the session's own.
+    assert time.monotonic() - started < 60
+    assert (found[1].mail, found[2].ips, len(found[3].mail)) == ([1_000_001], 1, 50_000)
+    assert found[3].mail == [m.start() for m in re.finditer(r"u[0-9]+@", many)]
+
+
+def test_a_match_may_begin_where_the_last_one_ended(docs):
+    text = "a@b.c_d@e.fr +x@y.z+q@r.st 1.2.3.4.5.6.7.8 x1.2.3.4"
+    own = sanitise.base_spans(F.col("text"))
+    row = docs([(1, text)]).select(*[F.transform(own[k], lambda s: s["value"]).alias(k) for k in ("email", "ip")]).first()
+    assert row.email == [m.group() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", text)]
+    assert row.ip == [m.group() for m in re.finditer(r"[0-9]+(?:\.[0-9]+){3}", text)]
