@@ -1,21 +1,29 @@
 """Landing scan of ZIP archives.
 
-A ZIP cannot be split, so one task reads one archive and streams its members out line by line;
-the parallelism is the number of archives. Write the result to the bronze table once
-(`land_archives`); everything after reads that, where lines of one archive are spread freely.
+A member of a ZIP cannot be split, but members are apart: `scan_archives` reads the central directories
+and makes every member of every archive a partition of its own, whose task seeks to the member and
+streams its lines in batches. `read_archives` takes contents as rows, for file systems that only Spark can
+open; there one task reads a whole archive. Write the result to the bronze table once (`land_archives`);
+everything after reads that, where lines of one archive are spread freely.
 """
 
 from __future__ import annotations
 
 import io
+import json
 import sys
 import zipfile
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 # The unzip step travels to the executors by value, so they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -23,6 +31,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LINES = "archive_key STRING, member STRING, line_no LONG, line STRING"
 # Lines handed to the JVM at a time.
 _CHUNK = 20_000
+# Central directories read side by side while a scan is planned.
+_PLANNERS = 16
 
 
 class ArchiveLayout(ValueError):
@@ -92,12 +102,101 @@ def _frame(path: str, member: str, start: int, lines: list[str]) -> pd.DataFrame
     )
 
 
+def _opened(path: str) -> pa.NativeFile:
+    """A file for reading at any place, by the path or URI Spark lists it under."""
+    system, at = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path)
+    return system.open_input_file(at)
+
+
+@dataclass
+class _Member(InputPartition):
+    path: str
+    member: str
+    entry: str
+
+
+class _MemberReader(DataSourceReader):
+    def __init__(self, paths: list[str], members: list[str], nested: bool) -> None:
+        self.paths, self.members, self.nested = paths, members, nested
+
+    def _entries(self, path: str) -> list[_Member]:
+        with _opened(path) as file, zipfile.ZipFile(file) as archive:
+            names = [i.filename for i in archive.infolist() if not i.is_dir()]
+        try:
+            prefix = member_prefix(names, self.members[0]) if self.nested else ""
+        except ArchiveLayout as problem:
+            raise ArchiveLayout(f"{path}: {problem}") from None
+        for member in self.members:
+            if prefix + member not in names:
+                raise ArchiveLayout(f"{path} is missing {member}")
+        return [_Member(path, member, prefix + member) for member in self.members]
+
+    def partitions(self) -> list[_Member]:
+        with ThreadPoolExecutor(_PLANNERS) as pool:
+            return [entry for found in pool.map(self._entries, self.paths) for entry in found]
+
+    def read(self, partition: _Member) -> Iterator[pa.RecordBatch]:
+        with _opened(partition.path) as file, zipfile.ZipFile(file) as archive:
+            start, chunk = 0, []
+            for line in _member_lines(archive, partition.entry):
+                chunk.append(line)
+                if len(chunk) == _CHUNK:
+                    yield _batch(partition, start, chunk)
+                    start, chunk = start + len(chunk), []
+            if chunk:
+                yield _batch(partition, start, chunk)
+
+
+def _batch(at: _Member, start: int, lines: list[str]) -> pa.RecordBatch:
+    n = len(lines)
+    numbers = pa.array(range(start, start + n), pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array([at.path] * n), pa.array([at.member] * n), numbers, pa.array(lines, pa.string())],
+        names=["archive_key", "member", "line_no", "line"],
+    )
+
+
+class ArchiveMembers(DataSource):
+    """Lines of members of archives; options `paths` and `members` are JSON lists, `nested` true or false."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "archive_members"
+
+    def schema(self) -> str:
+        return LINES
+
+    def reader(self, schema) -> DataSourceReader:
+        return _MemberReader(
+            json.loads(self.options["paths"]), json.loads(self.options["members"]), self.options["nested"] == "true"
+        )
+
+
+def scan_members(
+    spark: SparkSession, paths: Sequence[str], members: Sequence[str], nested: bool = False
+) -> DataFrame:
+    """Lines of the wanted members of the given archives, a task for every member of every archive.
+
+    Layouts as in `read_archives`; a missing member is an error while the scan is planned.
+    """
+    if not paths:
+        return spark.createDataFrame([], LINES)
+    spark.dataSource.register(ArchiveMembers)
+    return (
+        spark.read.format("archive_members")
+        .option("paths", json.dumps(list(paths)))
+        .option("members", json.dumps(list(members)))
+        .option("nested", "true" if nested else "false")
+        .load()
+    )
+
+
 def scan_archives(
     spark: SparkSession, path: str, members: Sequence[str], nested: bool = False
 ) -> DataFrame:
-    """`read_archives` over files; each file is a row, so tasks hold one archive at a time."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
-    return read_archives(files, members, nested)
+    """`scan_members` over the archives of a folder; their contents are not read while they are listed."""
+    found = archive_sizes(spark, path).select("rawKey").collect()  # one row per archive
+    return scan_members(spark, sorted(r.rawKey for r in found), members, nested)
 
 
 def land_archives(lines: DataFrame, path: str) -> None:

@@ -71,6 +71,24 @@ def test_archive_to_rows(spark, tmp_path, folder):
     assert archives.archive_sizes(spark, str(landing)).first().bytes == (landing / "w.zip").stat().st_size
 
 
+def test_every_member_is_a_task_of_its_own(spark, tmp_path):
+    for n in range(10):
+        zipped(tmp_path / f"{n}.zip", {"a.tsv": "".join(f"{n} {i}\r\n" for i in range(n)), "b.tsv": "\ufeffhead\nlast"})
+    zipped(tmp_path / "big.zip", {"a.tsv": "x\n" * 45_000, "b.tsv": ""})
+    read = archives.scan_archives(spark, str(tmp_path), ["a.tsv", "b.tsv"])
+    assert read.rdd.getNumPartitions() == 22
+    got = read.groupBy("archive_key", "member").agg(F.sort_array(F.collect_list(F.struct("line_no", "line"))).alias("lines")).collect()
+    found = {(r.archive_key.rsplit("/")[-1], r.member): [tuple(x) for x in r.lines] for r in got}
+    assert found[("3.zip", "a.tsv")] == [(0, "3 0"), (1, "3 1"), (2, "3 2")] and found[("7.zip", "b.tsv")] == [(0, "head"), (1, "last")]
+    assert [n for n, _ in found[("big.zip", "a.tsv")]] == list(range(45_000))
+    assert len(found) == 20  # empty members have no lines
+    by_content = archives.read_archives(spark.read.format("binaryFile").load(str(tmp_path)), ["a.tsv", "b.tsv"])
+    assert by_content.exceptAll(read).isEmpty() and read.exceptAll(by_content).isEmpty()
+    assert archives.scan_members(spark, [], ["a.tsv"]).isEmpty()
+    with pytest.raises(Exception, match="9.zip is missing c.tsv"):
+        archives.scan_members(spark, [str(tmp_path / "9.zip")], ["c.tsv"]).collect()
+
+
 def test_archive_layout_errors(spark, tmp_path):
     zipped(tmp_path / "two.zip", {"a/SUBMISSION.tsv": SUB, "b/SUBMISSION.tsv": SUB})
     with pytest.raises(Exception, match="2 candidates"):
