@@ -162,8 +162,8 @@ def _audit_archives(spark: SparkSession, state: AuditState, batch: list) -> None
         return spark.read.schema(rows.schema).parquet(scratch[-1])
 
     try:
-        files = spark.read.format("binaryFile").schema(FILES).load([r.path for r in batch])
-        lines = landed(archives.read_archives(files, list(kind.members), kind.nested), "lines", "member")
+        read = archives.scan_members(spark, [r.path for r in batch], list(kind.members), kind.nested)
+        lines = landed(read, "lines", "member")
         parse = pipelines.institutional_rows if kind is HOLDINGS else pipelines.insider_rows
         names = spark.createDataFrame([(r.window, r.key, r.path) for r in batch], "window STRING, key STRING, path STRING")
         label = names.select("window", F.col("path").alias("rawArchiveKey"))  # one row per archive
