@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filinglake.catalog.queries_jobs import _MERGE_345, _insider_sides
+from filinglake.catalog import oracle_text as o
 from filinglake.catalog.registry import register
 from filinglake.catalog.views import Tables
 from filinglake.operators.keyed import side_by_side
 from filinglake.plans import file_merge
 from filinglake.session import work_path
-from filinglake.sinks import versions
+from filinglake.sinks import lake, versions
 from filinglake.sources import daily_index, submissions
 from filinglake.streaming import daily
 
@@ -144,3 +145,21 @@ def t1_summary(t: Tables) -> DataFrame:
     )
 
 
+
+
+@register(
+    "s11_mixed_files",
+    ["insider_filings"],
+    f"""WITH r AS (SELECT CAST(year("availableAt") AS BIGINT) AS "availableYear", right(accession, 1) IN ('0', '1', '2', '3') AS legacy, "issuerTicker" AS filed FROM insider_filings)
+        SELECT "availableYear", CASE WHEN legacy THEN {o.ticker('filed')} ELSE 'as written' END AS "resolvedTicker", count(*) AS n FROM r GROUP BY 1, 2""",
+)
+def s11_mixed(t: Tables) -> DataFrame:
+    """Each year holds files from before the ticker column and files with it."""
+    root = work_path(t.spark, "s11-mixed")
+    rows = t.insider_filings
+    old = F.right("accession", F.lit(1)).isin("0", "1", "2", "3")
+    lake.write_lake(rows.where(~old).withColumn("resolvedTicker", F.lit("as written")), "insider_filings", root)
+    before = lake.with_shard(rows.where(old)).drop("resolvedTicker")
+    before.write.mode("append").partitionBy(lake.SHARD).parquet(f"{root}/insider_filings")
+    read = lake.read_table(t.spark, "insider_filings", root)
+    return read.groupBy(F.col(lake.SHARD).cast("long").alias(lake.SHARD), "resolvedTicker").agg(F.count(F.lit(1)).alias("n"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from filinglake import schemas
 from filinglake.functions import dates, securities
 from filinglake.operators.checks import Checked, split_broken
 from filinglake.session import work_path
+from filinglake.sources import footers
 
 SHARD = "availableYear"
 
@@ -103,31 +105,37 @@ def replace_years(
     publish_stage(spark, stage(spark, merged, table), table, root, years)
 
 
-def read_table(spark: SparkSession, table: str, root: str) -> DataFrame:
-    """A lake table with its declared columns and the shard; empty when it has no shard yet.
+def read_table(spark: SparkSession, table: str, root: str, years: Sequence[int] | None = None) -> DataFrame:
+    """A lake table with its declared columns and the shard (of `years`, or all); empty when it has no shard yet.
 
-    A shard written before `resolvedTicker` existed lacks the column; there it is derived from
-    the filer's text. Where the column exists, its nulls are trusted. Only footers of one file
-    per year are looked at.
+    A file written before `resolvedTicker` existed lacks the column; its rows derive it from the
+    filer's text, whatever other files the year has. Where the column exists, its nulls are trusted. The
+    footers of all files to be read tell; they also refuse a file that holds a column as another kind of type.
     """
     path = f"{root}/{table}"
     schema = schemas.TABLES[table]
-    years = shard_years(spark, path)
-    if not years:
+    shards = [y for y in shard_years(spark, path) if years is None or y in years]
+    if not shards:
         return with_shard(spark.createDataFrame([], schema))
     sharded = T.StructType([*schema.fields, T.StructField(SHARD, T.IntegerType())])
-    rows = spark.read.schema(sharded).parquet(path)
-    if table.startswith("insider_"):
-        legacy = [
-            year for year in years
-            if "resolvedTicker" not in spark.read.parquet(f"{path}/{SHARD}={year}").columns
-        ]
-        if legacy:
-            derived = F.when(
-                F.col(SHARD).isin(legacy), securities.issuer_ticker(F.col("issuerTicker"))
-            ).otherwise(F.col("resolvedTicker"))
-            rows = rows.withColumn("resolvedTicker", derived)
-    return rows
+    reader = spark.read.schema(sharded).option("basePath", path)
+    folders = [path] if years is None else [f"{path}/{SHARD}={y}" for y in shards]
+    if not table.startswith("insider_"):
+        return reader.parquet(*folders)
+    found = footers.read_footers(spark, folders)
+    wrong = footers.conflicts(found, schema).take(3)
+    if wrong:
+        raise ValueError("; ".join(f"{r.file}: {r.column} is {r.kind}, not {r.declared}" for r in wrong))
+    groups = footers.schema_groups(found)
+    legacy = [f for names, files in groups if "resolvedTicker" not in names for f in files]
+    if not legacy:
+        return reader.parquet(*folders)
+    derived = securities.issuer_ticker(F.col("issuerTicker"))
+    parts = [reader.parquet(*legacy).withColumn("resolvedTicker", derived)]
+    rest = [f for names, files in groups if "resolvedTicker" in names for f in files]
+    if rest:
+        parts.append(reader.parquet(*rest))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def check_table(df: DataFrame, table: str) -> Checked:

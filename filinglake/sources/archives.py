@@ -102,7 +102,7 @@ def _frame(path: str, member: str, start: int, lines: list[str]) -> pd.DataFrame
     )
 
 
-def _opened(path: str) -> pa.NativeFile:
+def opened(path: str) -> pa.NativeFile:
     """A file for reading at any place, by the path or URI Spark lists it under."""
     system, at = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path)
     return system.open_input_file(at)
@@ -120,7 +120,7 @@ class _MemberReader(DataSourceReader):
         self.paths, self.members, self.nested = paths, members, nested
 
     def _entries(self, path: str) -> list[_Member]:
-        with _opened(path) as file, zipfile.ZipFile(file) as archive:
+        with opened(path) as file, zipfile.ZipFile(file) as archive:
             names = [i.filename for i in archive.infolist() if not i.is_dir()]
         try:
             prefix = member_prefix(names, self.members[0]) if self.nested else ""
@@ -136,7 +136,7 @@ class _MemberReader(DataSourceReader):
             return [entry for found in pool.map(self._entries, self.paths) for entry in found]
 
     def read(self, partition: _Member) -> Iterator[pa.RecordBatch]:
-        with _opened(partition.path) as file, zipfile.ZipFile(file) as archive:
+        with opened(partition.path) as file, zipfile.ZipFile(file) as archive:
             start, chunk = 0, []
             for line in _member_lines(archive, partition.entry):
                 chunk.append(line)

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from rows import table
 
 from filinglake import schemas
@@ -8,6 +9,7 @@ from filinglake.operators import merge
 from filinglake.operators.checks import BrokenRows
 from filinglake.plans import analytics, pipelines
 from filinglake.sinks import lake
+from filinglake.sources import footers
 
 DATASET, DAILY = schemas.SOURCE_345_DATASET, schemas.SOURCE_ACCEPTANCE
 
@@ -82,6 +84,32 @@ def test_legacy_shard_derives_only_the_absent_column(spark, tmp_path):
     assert got == {"N": None, "O": "SIRI"}
 
 
+def test_year_with_old_and_new_files_is_right_in_both(spark, tmp_path):
+    """Absent in a file is not null in a file, also within one year, and reading some years reads no other's files."""
+    root = str(tmp_path)
+    rows = [{"accession": a, "issuerTicker": "(SIRI)", "resolvedTicker": None, "availableAt": at(f"{y}-06-01T00:00:00")} for a, y in (("N", 2010), ("M", 2011))]
+    lake.write_lake(table(spark, "insider_filings", rows), "insider_filings", root)
+    old = table(spark, "insider_filings", [{"accession": "O", "issuerTicker": "(SIRI)"}]).drop("resolvedTicker", "window", "ord")
+    old.write.mode("append").parquet(f"{root}/insider_filings/availableYear=2010")
+    read = lake.read_table(spark, "insider_filings", root)
+    assert {(r.accession, r.availableYear, r.resolvedTicker) for r in read.collect()} == {("N", 2010, None), ("M", 2011, None), ("O", 2010, "SIRI")}
+    only = lake.read_table(spark, "insider_filings", root, years=[2011])
+    assert [r.accession for r in only.collect()] == ["M"] and all("availableYear=2011" in f for f in only.inputFiles())
+    found = footers.read_footers(spark, [f"{root}/insider_filings"])
+    assert found.agg(F.sum("n_rows")).first()[0] == 3
+    assert sorted("resolvedTicker" in names for names, _ in footers.schema_groups(found)) == [False, True]
+    assert lake.read_table(spark, "insider_filings", root, years=[1999]).count() == 0
+
+
+def test_file_with_a_column_of_another_type_is_refused_by_name(spark, tmp_path):
+    root = str(tmp_path)
+    lake.write_lake(table(spark, "insider_filings", [{"accession": "N"}]), "insider_filings", root)
+    bad = table(spark, "insider_filings", [{"accession": "B"}]).withColumn("issuerTicker", F.lit(7)).drop("window", "ord")
+    bad.write.mode("append").parquet(f"{root}/insider_filings/availableYear=2010")
+    with pytest.raises(ValueError, match="availableYear=2010.*issuerTicker is whole, not text"):
+        lake.read_table(spark, "insider_filings", root)
+
+
 def test_typed_read_names_the_field(spark):
     rows = table(spark, "insider_transactions", [{}, {"securityTitle": None}, {"rowKind": "other"}, {"shares": float("nan")}])
     with pytest.raises(BrokenRows, match="rowKind unknown x1.*securityTitle x1.*shares not finite x1"):
