@@ -9,7 +9,7 @@ from filinglake.catalog import oracle_text as o
 from filinglake.catalog.registry import register
 from filinglake.catalog.views import Tables
 from filinglake.operators import integrity
-from filinglake.plans import audit
+from filinglake.plans import audit, reports
 from filinglake.session import work_path
 from filinglake.sources import manifest
 
@@ -102,6 +102,22 @@ def a9(t: Tables) -> DataFrame:
     return integrity.filing_lags(t.inst_filings)
 
 
+@register(
+    "a9_lag_report",
+    sql=f"""WITH f AS (SELECT CASE o_orderstatus WHEN 'O' THEN 'amendment' ELSE 'original' END AS kind,
+                          date_diff('day', CAST(date_trunc('quarter', o_orderdate) - INTERVAL 1 DAY AS DATE), CAST(o_orderdate AS DATE)) AS lag
+                   FROM orders WHERE o_orderkey % 11 <> 0)
+        SELECT (SELECT count(DISTINCT ((o_orderkey % 12), (o_orderkey % 4))) FROM orders) AS windows, (SELECT count(*) FROM f) AS filings,
+               kind, count(*) AS n, {o.floor_quantile('lag', 0.5)} AS p50, {o.floor_quantile('lag', 0.95)} AS p95, max(lag) AS max FROM f GROUP BY kind""",
+)
+def a9_report(t: Tables) -> DataFrame:
+    """The report of raw submission records, a row per kind."""
+    archives = t.raw_sub13f.select("archive_key").distinct()
+    found = reports.lag_totals(reports.submission_dates(t.raw_sub13f).rows, archives)
+    kinds = F.inline(F.array(*[F.struct(F.lit(kind).alias("kind"), *[F.col(f"{kind}.{x}").alias(x) for x in ("n", "p50", "p95", "max")]) for kind in ("original", "amendment")]))
+    return found.select("windows", "filings", kinds)
+
+
 _HOLDINGS_COUNTERS = [
     "filings", "holdings", "orphanHoldings", "noticeFilingsWithHoldings", "nullManagerFilings",
     "nullIssuerHoldings", "zeroPositionHoldings", "placeholderCusips", "figiCoverage",
