@@ -25,8 +25,9 @@ from filinglake.llm import common
 
 SCALE, LEAST = 8, 64
 LIMIT = np.uint64(2**64 // SCALE)
-# Rows of a block of neighbouring ids, and the most blocks (their bounds are kept on the driver).
-BLOCK_ROWS, MOST_BLOCKS = 4_000, 1 << 16
+# Rows of a piece of neighbouring ids, the most pieces (their bounds are kept on the driver), and the bytes
+# of text that pieces one behind another are joined up to: a block, which is one task.
+PIECE_ROWS, MOST_BLOCKS, BLOCK_BYTES = 250, 1 << 16, 8 << 20
 NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
 
@@ -76,15 +77,15 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def _blocked(bounds: np.ndarray):
-    """Adds `block`: how many bounds are above the id, so blocks descend; ids that are null come last."""
+def _blocked(bounds: np.ndarray, blocks: np.ndarray):
+    """Adds `block`, that of the piece: how many bounds are above the id, so blocks descend; ids that are null come last."""
 
     def add(batches):
         for batch in batches:
             ids = pc.fill_null(batch["doc_id"], 0).to_numpy(zero_copy_only=False)
             null = batch["doc_id"].is_null().to_numpy(zero_copy_only=False)
             place = len(bounds) - np.searchsorted(bounds, ids, side="left")
-            place = np.where(null, len(bounds) + 1, place).astype(np.int32)
+            place = blocks[np.where(null, len(bounds) + 1, place)].astype(np.int32)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(place)], [*batch.schema.names, "block"])
 
     return add
@@ -110,31 +111,49 @@ def _paired(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], NAMES)
 
 
+def _joined(pieces: list) -> tuple[list, dict[int, int]]:
+    """The first piece of each block, and the block of each piece (block, size), when blocks take BLOCK_BYTES.
+
+    Pieces come in order; one that is larger is a block by itself.
+    """
+    heads, of, size = [], {}, 0
+    for piece in pieces:
+        if not heads or size + piece["size"] > BLOCK_BYTES:
+            heads.append(piece)
+            size = 0
+        size += piece["size"]
+        of[piece["block"]] = len(heads) - 1
+    return heads, of
+
+
 def fingerprints(documents: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, both fingerprints, near_edited and near_next of every row.
 
-    Ids are cut into blocks at approximate quantiles. A block's last row follows on to the first row
-    of the next one, which is added to it, so each block is finished by itself; only the bounds and the
-    first (id, digest) of each block, at most MOST_BLOCKS, are gathered.
+    Ids are cut into pieces at approximate quantiles, and pieces one behind another joined to blocks of about
+    equal bytes, one a task. A block's last row follows on to the first row of the next one, which is
+    added to it, so each block is finished by itself; only the bounds and the size and first (id, digest)
+    of each piece, at most MOST_BLOCKS, are gathered.
     """
     spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     n = documents.select("doc_id").count()
-    blocks = min(MOST_BLOCKS, max(8, n // BLOCK_ROWS))
-    shares = [k / blocks for k in range(1, blocks)]
-    found = documents.select(F.percentile_approx(F.col("doc_id").cast("long"), shares, max(10_000, 4 * blocks))).first()[0]
+    pieces = min(MOST_BLOCKS, max(8, n // PIECE_ROWS))
+    shares = [k / pieces for k in range(1, pieces)]
+    found = documents.select(F.percentile_approx(F.col("doc_id").cast("long"), shares, max(10_000, 4 * pieces))).first()[0]
     bounds = np.unique(np.array(found or [], np.int64))
-    blocked = rows.mapInArrow(_blocked(bounds), "doc_id LONG, text STRING, block INT")
-    first = (
-        rows.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"))
-        .mapInArrow(_blocked(bounds), "doc_id LONG, digest STRING, block INT")
+    measured = (
+        rows.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), (F.octet_length("text") + 64).cast("long").alias("size"))
+        .mapInArrow(_blocked(bounds, np.arange(len(bounds) + 2)), "doc_id LONG, digest STRING, size LONG, block INT")
         .groupBy("block")
-        .agg(F.max(F.struct("doc_id", "digest")).alias("first"))
-        .select("block", "first.*")
+        .agg(F.max(F.struct("doc_id", "digest")).alias("first"), F.sum("size").alias("size"))
+        .select("block", "first.*", "size")
         .collect()
     )
-    order = sorted(first, key=lambda r: r["block"])
-    heads = [(order[i - 1]["block"], r["doc_id"], r["digest"]) for i, r in enumerate(order)]
+    order, of = _joined(sorted(measured, key=lambda r: r["block"]))
+    # A piece without rows may name any block.
+    blocks = np.array([of.get(piece, 0) for piece in range(len(bounds) + 2)])
+    blocked = rows.mapInArrow(_blocked(bounds, blocks), "doc_id LONG, text STRING, block INT")
+    heads = [((i - 1) % len(order), r["doc_id"], r["digest"]) for i, r in enumerate(order)]
     head_rows = spark.createDataFrame(heads, "block INT, doc_id LONG, digest STRING")
     keyed = rows.withColumn("digest", F.md5(F.col("text").cast("binary")))
     same = (keyed["doc_id"].eqNullSafe(head_rows["doc_id"])) & (keyed["digest"] == head_rows["digest"])
@@ -146,7 +165,7 @@ def fingerprints(documents: DataFrame) -> DataFrame:
         .select("block", F.lit(1).alias("tail"), "doc_id", "text")
     )
     both = blocked.select("block", F.lit(0).alias("tail"), "doc_id", "text").union(tails)
-    ordered = both.repartition(len(bounds) + 2, "block").sortWithinPartitions(
+    ordered = both.repartitionById(max(1, len(order)), F.col("block")).sortWithinPartitions(
         "block", "tail", F.desc_nulls_last("doc_id"), F.desc(F.md5(F.col("text").cast("binary")))
     )
     shape = "doc_id LONG, n_chars LONG, edited_sha256 STRING, fingerprint STRING, edited_fingerprint STRING, near_edited DOUBLE, near_next DOUBLE"

@@ -89,7 +89,9 @@ def test_pointer_jumping(spark):
     assert {(r.file, r.offset) for r in found} == {("a", i * 10) for i in range(100)} | {("b", 0)}
 
 
-def test_fingerprints_of_neighbours(docs):
+@pytest.mark.parametrize("block_bytes", [1 << 20, 3000])
+def test_fingerprints_of_neighbours(docs, block_bytes, monkeypatch):
+    monkeypatch.setattr(fingerprints, "BLOCK_BYTES", block_bytes)
     rows = [(i * 3 % 101, prose(i, 5 + i * 7)) for i in range(101)] + [(500, None), (501, ""), (502, "a b"), (7000, "é😀" * 9)]
     found = {r.doc_id: r for r in fingerprints.fingerprints(docs(rows)).collect()}
     ordered = sorted(((i, t or "") for i, t in rows), reverse=True)
@@ -103,6 +105,17 @@ def test_fingerprints_of_neighbours(docs):
         assert found[i].near_next == fingerprints.likeness(own, other) and 0 <= found[i].near_edited <= 1
 
 
+def test_blocks_are_cut_by_bytes(docs, monkeypatch):
+    pieces = [{"block": b, "size": s} for b, s in ((0, 5), (1, 5), (3, 20), (4, 1), (5, 9), (6, 1))]
+    monkeypatch.setattr(fingerprints, "BLOCK_BYTES", 10)
+    heads, of = fingerprints._joined(pieces)
+    assert [h["block"] for h in heads] == [0, 3, 4, 6] and of == {0: 0, 1: 0, 3: 1, 4: 2, 5: 2, 6: 3}
+    monkeypatch.setattr(fingerprints, "BLOCK_BYTES", 40_000)
+    found = fingerprints.fingerprints(docs([(i, prose(i, 2000 if i < 16 else 4)) for i in range(2000)]))
+    sizes = [r.s for r in found.groupBy(F.spark_partition_id()).agg(F.sum("n_chars").alias("s")).collect()]
+    assert len(sizes) > 3 and found.count() == 2000
+
+
 def test_fingerprints_odd_rows(docs, odd):
     found = fingerprints.fingerprints(docs(odd)).collect()
     assert len(found) == len(odd)
