@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from filinglake.functions.text import trimmed
 from filinglake.operators.checks import BrokenRows
 
+# Headers of so many files are sent to all tasks (about 200 bytes each); those of more are shuffled.
+BROADCAST_FILES = 20_000
+
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Lines of text files as (archive_key, ord, line), `ord` ascending in file order.
@@ -58,15 +61,16 @@ def _headers(lines: DataFrame, first: Column | None) -> DataFrame:
     return header.select("archive_key", "_at", cells.alias("_header"))
 
 
-def _check_headers(headers: DataFrame, required: Sequence[str], member: str) -> None:
-    """Raise when a file lacks a required column. Reads one row per file."""
+def _count_headers(headers: DataFrame, required: Sequence[str], member: str) -> int:
+    """How many files there are; raises when one lacks a required column. Reads one row per file."""
     missing = F.array_except(F.array(*[F.lit(name) for name in required]), F.col("_header"))
     bad = headers.filter(F.size(missing) > 0).select("archive_key", missing.alias("missing"))
-    count = bad.count()
+    files, count = headers.agg(F.count(F.lit(1)), F.count_if(F.size(missing) > 0)).first()
     if count:
         sample = bad.orderBy("archive_key").limit(3).collect()
         detail = "; ".join(f"{r.archive_key} lacks {', '.join(r.missing)}" for r in sample)
         raise BrokenRows(f"{member}: {count} file(s) lack columns, e.g. {detail}")
+    return files
 
 
 def _headless(lines: DataFrame, leading: Column) -> DataFrame:
@@ -75,9 +79,9 @@ def _headless(lines: DataFrame, leading: Column) -> DataFrame:
     return filled.filter(~F.col("_filled")).select("archive_key", F.array().cast("array<string>").alias("_header"))
 
 
-def _with_header(lines: DataFrame, headers: DataFrame) -> DataFrame:
-    # One row per file: adaptive execution broadcasts it while it is small.
-    joined = lines.join(headers, "archive_key")
+def _with_header(lines: DataFrame, headers: DataFrame, files: int) -> DataFrame:
+    # One row per file. Shuffled by file, all lines of one file would meet in one task.
+    joined = lines.join(F.broadcast(headers) if files <= BROADCAST_FILES else headers, "archive_key")
     return joined.filter(F.col("ord") > F.col("_at"))
 
 
@@ -96,8 +100,7 @@ def records(
     header lines apart without a pass over the text, for instance `ord = 0` on landed lines.
     """
     headers = _headers(lines, first)
-    if check:
-        _check_headers(headers, required, member)
+    files = _count_headers(headers, required if check else (), member)
     names = [*required, *optional]
     # Position of the last cell with the name, 0-based; -1 when there is none.
     width = F.size("_header")
@@ -108,7 +111,7 @@ def records(
         ).otherwise(-1).cast("int").alias(f"_at_{name}")
         for name in names
     ]
-    placed = _with_header(lines, headers.select("archive_key", "_at", *at))
+    placed = _with_header(lines, headers.select("archive_key", "_at", *at), files)
     body = placed.filter(trimmed(F.col("line")) != "").withColumn("_cells", F.split("line", "\t", -1))
     return body.select(
         "archive_key",
@@ -133,13 +136,12 @@ def strict_records(
     """
     filled = F.col("line") != ""
     headers = _headers(lines.filter(filled if leading is None else leading & filled), None)
-    if check:
-        if leading is not None:
-            _check_headers(_headless(lines, leading), columns, member)
-        _check_headers(headers, columns, member)
+    if check and leading is not None:
+        _count_headers(_headless(lines, leading), columns, member)
+    files = _count_headers(headers, columns if check else (), member)
     at = [(F.array_position("_header", name) - 1).cast("int").alias(f"_at_{name}") for name in columns]
     placed = _with_header(
-        lines, headers.select("archive_key", "_at", F.size("_header").alias("_width"), *at)
+        lines, headers.select("archive_key", "_at", F.size("_header").alias("_width"), *at), files
     )
     body = placed.filter(F.col("line") != "").withColumn("_cells", F.split("line", "\t", -1))
     malformed = F.size("_cells") != F.col("_width")
