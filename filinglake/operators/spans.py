@@ -1,10 +1,10 @@
 """Tickers by CUSIP and date: the first span that covers the day wins.
 
-Spans come in the order of trust (`ord`). Days are numbered, and the days of a span are cut into aligned
-blocks of 1, 16, 256 ... days, the largest that fit; each block keeps the best span over it. A day lies in
-one block of each size, so every distinct (CUSIP, day) among the holdings looks up a handful of blocks,
-however many spans its CUSIP has, and the answer is joined back once. Nothing gathers a group or pairs every
-span with every row.
+Spans come in the order of trust (`ord`). Days are numbered and cut into buckets of 128 days, buckets into
+blocks of 128. The ends of a span go to their buckets, the buckets it covers wholly to their blocks, so that a
+bucket and a block hold at most 128 * 129 / 2 different ranges, however many spans a CUSIP has; one with more than
+a few is resolved unit by unit. All of a CUSIP in one block (45 years) is one map, which a holding joins once and
+in which it looks up its bucket and its day.
 """
 
 from __future__ import annotations
@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 
 from filinglake.functions import dates, text
 
-# Days are numbered from the first day of the calendar; 16 ** 6 days reach past the year 45,000.
+# Days are numbered from the first day of the calendar; an open end reaches past the year 45,000.
 _FIRST_DAY = "0001-01-01"
-_BASE, _LEVELS = 16, 6
-_LAST = _BASE**_LEVELS - 1
-# One block above all others says that a CUSIP has spans at all.
-_KNOWN = _LEVELS + 1
+_LAST = 2**24 - 1
+# Days of a bucket and buckets of a block, as a power of two; what lists whole buckets in a map; ranges searched one by one.
+_BITS = 7
+_UNITS = 2**_BITS
+_WHOLE = -1
+_FEW = 16
 
 
 def _clean_spans(spans: DataFrame) -> DataFrame:
@@ -35,78 +37,103 @@ def _clean_spans(spans: DataFrame) -> DataFrame:
 
 
 def _day_number(day: Column) -> Column:
-    return F.datediff(day, F.lit(_FIRST_DAY).cast("date")).cast("long")
+    return F.datediff(day, F.lit(_FIRST_DAY).cast("date"))
 
 
-def _blocks(ranges: DataFrame) -> DataFrame:
-    """`ranges` without `low` and `high`, once per aligned block (level, block) that makes up the range.
+def _up(number: Column, levels: int = 1) -> Column:
+    """The bucket of a day or the block of a bucket; with two levels the block of a day."""
+    return F.shiftright(number, levels * _BITS)
 
-    On each level only blocks next to an end of the range can lie outside a larger one inside it: at most
-    BASE - 1 at either end.
-    """
+
+def _unit(number: Column) -> Column:
+    return number.bitwiseAND(_UNITS - 1)
+
+
+def _ranges(spans: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(cusip, block, bucket, low, high, best): ranges of days in a bucket, and of whole buckets in one of `blocks`."""
     c = F.col
-    sized = ranges.select("*", F.explode(F.sequence(F.lit(0), F.lit(_LEVELS))).alias("level")).select(
-        "*", F.pow(F.lit(_BASE), c("level")).cast("long").alias("_size")
+    sized = (
+        _clean_spans(spans)
+        .select(
+            "cusip",
+            F.struct("ord", "ticker").alias("best"),
+            F.coalesce(_day_number(c("fromDate")), F.lit(0)).alias("_from"),
+            F.coalesce(_day_number(c("toDate")), F.lit(_LAST)).alias("_to"),
+        )
+        .filter(c("_from") <= c("_to"))
+        .select("*", _up(c("_from")).alias("_first"), _up(c("_to")).alias("_last"), _unit(c("_from")).alias("_low"), _unit(c("_to")).alias("_high"))
     )
-    ends = sized.select(
-        "*",
-        F.ceil(c("low") / c("_size")).cast("long").alias("_first"),
-        (F.floor((c("high") + 1) / c("_size")) - 1).cast("long").alias("_last"),
-    ).filter(c("_first") <= c("_last"))
-    near = F.array_union(
-        F.sequence(c("_first"), F.least(c("_last"), c("_first") + (_BASE - 2))),
-        F.sequence(F.greatest(c("_first"), c("_last") - (_BASE - 2)), c("_last")),
+    inside = c("_first") < c("_last")
+
+    def part(bucket: str, low: Column, high: Column) -> Column:
+        return F.struct(_up(c(bucket)).alias("block"), c(bucket).alias("bucket"), low.cast("int").alias("low"), high.cast("int").alias("high"))
+
+    ends = F.array(
+        F.when(~inside, part("_first", c("_low"), c("_high"))),
+        F.when(inside & (c("_low") > 0), part("_first", c("_low"), F.lit(_UNITS - 1))),
+        F.when(inside & (c("_high") < _UNITS - 1), part("_last", F.lit(0), c("_high"))),
     )
-    parent = F.floor(c("block") / _BASE)
-    inside = (
-        (c("level") < _LEVELS)
-        & (parent * _BASE * c("_size") >= c("low"))
-        & ((parent + 1) * _BASE * c("_size") - 1 <= c("high"))
+    days = sized.select("cusip", "best", F.inline(ends)).filter("bucket IS NOT NULL")
+    whole = sized.filter(inside).select(
+        "cusip",
+        "best",
+        (c("_first") + F.when(c("_low") > 0, 1).otherwise(0)).alias("_from"),
+        (c("_last") - F.when(c("_high") < _UNITS - 1, 1).otherwise(0)).alias("_to"),
     )
-    cut = ends.select("*", F.explode(near).alias("block")).filter(~inside)
-    return cut.drop("_size", "_first", "_last", "low", "high")
+    start = F.shiftleft(c("block"), _BITS)
+    buckets = (
+        whole.filter(c("_from") <= c("_to"))
+        .join(F.broadcast(blocks), (_up(c("_from")) <= c("block")) & (c("block") <= _up(c("_to"))))
+        .select(
+            "cusip",
+            "best",
+            "block",
+            F.lit(_WHOLE).alias("bucket"),
+            (F.greatest(c("_from"), start) - start).alias("low"),
+            (F.least(c("_to"), start + (_UNITS - 1)) - start).alias("high"),
+        )
+    )
+    return days.unionByName(buckets)
+
 
+def _first_over(ranges: Column, unit: Column) -> Column:
+    return F.get(F.filter(ranges, lambda r: (r["low"] <= unit) & (unit <= r["high"])), F.lit(0))
 
-def _nodes(spans: DataFrame) -> DataFrame:
-    """(cusip, level, block, best): the span first in order over each block; of equal orders the first ticker."""
+
+def _nodes(spans: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(cusip, block, nodes): by bucket the ranges in order, or, of many, the first range over each unit."""
     c = F.col
-    best = F.struct("ord", "ticker").alias("best")
-    low = F.coalesce(_day_number(c("fromDate")), F.lit(0))
-    high = F.coalesce(_day_number(c("toDate")), F.lit(_LAST))
-    clean = _clean_spans(spans)
-    cut = _blocks(clean.select("cusip", best, low.cast("long").alias("low"), high.cast("long").alias("high")))
-    known = clean.select(
-        "cusip", F.lit(None).cast(cut.schema["best"].dataType).alias("best"), F.lit(_KNOWN).alias("level"), F.lit(0).cast("long").alias("block")
+    key = ["cusip", "block", "bucket"]
+    found = _ranges(spans, blocks).groupBy(*key, "low", "high").agg(F.min("best").alias("best"))
+    ordered = F.array_sort(F.collect_list(F.struct("best.ord", "best.ticker", "low", "high")))
+    many = F.size("ranges") > _FEW
+    units = F.transform(F.sequence(F.lit(0), F.lit(_UNITS - 1)), lambda unit: _first_over(c("ranges"), unit))
+    node = F.struct(F.when(~many, c("ranges")).alias("few"), F.when(many, units).alias("units"))
+    return (
+        found.groupBy(*key)
+        .agg(ordered.alias("ranges"))
+        .select(*key, node.alias("node"))
+        .groupBy("cusip", "block")
+        .agg(F.map_from_entries(F.collect_list(F.struct("bucket", "node"))).alias("nodes"))
     )
-    return cut.unionByName(known).groupBy("cusip", "level", "block").agg(F.min("best").alias("best"))
 
 
 def _matched(holdings: DataFrame, spans: DataFrame) -> DataFrame:
-    """Holdings plus `_cusip`, `_ticker` (null when none) and `_known` (the CUSIP has spans)."""
+    """Holdings plus `_cusip` and `_ticker` (null when none)."""
     c = F.col
-    keyed = holdings.select(
-        "*",
-        F.upper(text.trimmed(c("cusip"))).alias("_cusip"),
-        dates.utc_day(c("availableAt")).alias("_day"),
-    )
-    days = keyed.select(c("_cusip").alias("cusip"), c("_day").alias("day")).filter("cusip IS NOT NULL").distinct()
-    asked = days.select(
-        "*", _day_number(c("day")).alias("_number"), F.explode(F.sequence(F.lit(0), F.lit(_KNOWN))).alias("level")
-    ).select("cusip", "day", "level", F.when(c("level") == _KNOWN, 0).otherwise(F.floor(c("_number") / F.pow(F.lit(_BASE), c("level")))).cast("long").alias("block"))
-    found = (
-        asked.join(_nodes(spans), ["cusip", "level", "block"])
-        .groupBy("cusip", "day")
-        .agg(F.min("best").alias("best"))
-        .select(c("cusip").alias("_cusip"), c("day").alias("_day"), c("best.ticker").alias("_ticker"), F.lit(True).alias("_known"))
-    )
-    # A holding without a day has no ticker, but its CUSIP may be known.
-    joined = keyed.join(found, (keyed["_cusip"] == found["_cusip"]) & keyed["_day"].eqNullSafe(found["_day"]), "left")
-    return joined.select(
-        *[keyed[name] for name in holdings.columns],
-        keyed["_cusip"],
-        found["_ticker"],
-        F.coalesce(found["_known"], F.lit(False)).alias("_known"),
-    )
+    day = _day_number(dates.utc_day(c("availableAt")))
+    keyed = holdings.select("*", F.upper(text.trimmed(c("cusip"))).alias("_cusip"), day.alias("_day"), _up(day, 2).alias("_block"))
+    blocks = holdings.select(_up(day, 2).alias("block")).filter("block IS NOT NULL").distinct()
+    table = _nodes(spans, blocks)
+
+    def best(bucket: Column, unit: Column) -> Column:
+        node = table["nodes"][bucket]
+        return F.coalesce(_first_over(node["few"], unit), F.get(node["units"], unit))
+
+    bucket = _up(keyed["_day"])
+    first = F.least(best(bucket, _unit(keyed["_day"])), best(F.lit(_WHOLE), _unit(bucket)))
+    joined = keyed.join(table, (keyed["_cusip"] == table["cusip"]) & (keyed["_block"] == table["block"]), "left")
+    return joined.select(*[keyed[name] for name in holdings.columns], keyed["_cusip"], first["ticker"].alias("_ticker"))
 
 
 def resolve_tickers(holdings: DataFrame, spans: DataFrame) -> DataFrame:
@@ -130,11 +157,14 @@ def ticker_report(holdings: DataFrame, spans: DataFrame) -> DataFrame:
     c = F.col
     matched = _matched(holdings.select("cusip", "availableAt"), spans)
     # One row per CUSIP before the last step, so distinct CUSIPs need no further shuffle of rows.
-    per_cusip = matched.groupBy("_cusip").agg(
+    counted = matched.groupBy("_cusip").agg(
         F.count_if(c("_ticker").isNotNull()).alias("resolved"),
         F.count_if(c("_ticker").isNull()).alias("unresolved"),
-        F.count_if(c("_ticker").isNull() & c("_known")).alias("outside"),
-        F.bool_or(c("_known")).alias("known"),
+    )
+    listed = _clean_spans(spans).select(c("cusip").alias("_cusip")).distinct().withColumn("_known", F.lit(True))
+    known = c("_known").isNotNull()
+    per_cusip = counted.join(listed, "_cusip", "left").select(
+        "resolved", "unresolved", F.when(known, c("unresolved")).otherwise(0).alias("outside"), known.alias("known")
     )
     return per_cusip.agg(
         F.coalesce(F.sum("resolved"), F.lit(0)).alias("resolved"),
