@@ -17,6 +17,8 @@ from filinglake.operators.quantiles import floor_quantiles, level_quantile
 
 # Entries in a sample list, the placeholder CUSIP, the notice form prefix.
 SAMPLE = 20
+# The share of keys in which the end of a sample list is looked for.
+PILOT = 64
 PLACEHOLDER = "000000000"
 NOTICE = "13F-NT"
 LAG_QUANTILES = {"p50": 0.5, "p95": 0.95, "max": 1.0}
@@ -49,24 +51,45 @@ def lag_days(filed: str = "filingDate", period: str = "periodOfReport") -> Colum
     return F.datediff(F.col(filed), F.col(period))
 
 
-def repeated_keys(df: DataFrame, order: Column | str) -> DataFrame:
-    """Rows whose (window, accession, infoTableSk) was seen before: up to SAMPLE per key.
+def _repeats(rows: DataFrame) -> DataFrame:
+    """Rows (window, accession, infoTableSk, _ord, _hash) whose key was seen before: up to SAMPLE per key.
 
     Hashes of keys are counted first, combined before a shuffle of eight bytes a key; only rows whose
     hash came twice are ranked, by the key itself, so two keys with one hash stay apart. More than
     SAMPLE repeats of one key cannot enter a list of SAMPLE, so the ranking filter is exact, and it
     lets each task forget the rest of a hot key.
     """
-    key = ["window", "accession", "infoTableSk"]
-    rows = df.select(*key, as_column(order).alias("_ord"), F.xxhash64(*key).alias("_hash"))
     again = rows.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_hash")
-    by_key = Window.partitionBy(*key).orderBy("_ord")
+    by_key = Window.partitionBy("window", "accession", "infoTableSk").orderBy("_ord")
     return (
         rows.join(again, "_hash", "left_semi")
         .withColumn("_nth", F.row_number().over(by_key))
         .filter(F.col("_nth") <= SAMPLE + 1)
         .filter(F.col("_nth") > 1)
-        .select("window", "accession", F.concat_ws("/", "accession", "infoTableSk").alias("entry"), "_ord")
+    )
+
+
+def repeated_keys(df: DataFrame, order: Column | str, filed: DataFrame | None = None) -> DataFrame:
+    """The first rows per window, SAMPLE of them at least if there are so many, whose key was seen before.
+
+    A key is (window, accession, infoTableSk); if `filed` is given, only its (window, accession) count. The repeats
+    among every PILOT-th hash are found first. Where they fill a list, the whole list cannot reach beyond its last
+    entry, and neither do the rows that its entries repeat: later rows are left out before orders are shuffled.
+    """
+
+    def counting(repeats: DataFrame) -> DataFrame:
+        return repeats if filed is None else repeats.join(filed, ["window", "accession"], "left_semi")
+
+    key = ["window", "accession", "infoTableSk"]
+    rows = df.select(*key, as_column(order).alias("_ord"), F.xxhash64(*key).alias("_hash"))
+    pilot = counting(_repeats(rows.filter(F.pmod("_hash", F.lit(PILOT)) == 0)))
+    in_order = F.row_number().over(Window.partitionBy("window").orderBy("_ord"))
+    # One row per window.
+    ends = pilot.withColumn("_at", in_order).filter(F.col("_at") <= SAMPLE).filter(F.col("_at") == SAMPLE).select("window", F.col("_ord").alias("_end"))
+    within = F.col("_end").isNull() | F.col("_ord").isNull() | (F.col("_ord") <= F.col("_end"))
+    near = rows.join(F.broadcast(ends), "window", "left").filter(within).drop("_end")
+    return counting(_repeats(near)).select(
+        "window", "accession", F.concat_ws("/", "accession", "infoTableSk").alias("entry"), "_ord"
     )
 
 
@@ -107,17 +130,23 @@ def holdings_integrity(filings: DataFrame, holdings: DataFrame, order: Column |
     """
     c = F.col
     filed = filings.select("window", "accession").distinct().withColumn("_filed", F.lit(True))
-    matched = holdings.join(filed, ["window", "accession"], "left")
+    # What the counters need of a holding: its codes and one number of flags.
+    empty = (F.coalesce("value", F.lit(0.0)) == 0) & (F.coalesce("sharesAmount", F.lit(0.0)) == 0)
+    marks = {
+        "null_issuer": F.coalesce("issuerName", F.lit("")) == "",
+        "zero": empty,
+        "figi": F.coalesce("figi", F.lit("")) != "",
+    }
+    marked = holdings.select(
+        "window", "accession", "cusip", F.coalesce("putCall", F.lit("NULL")).alias("pc"),
+        reduce(Column.__add__, [mark.cast("int") * 2**n for n, mark in enumerate(marks.values())]).alias("_marks"),
+    )
+    matched = marked.join(filed, ["window", "accession"], "left")
     # One pass at (window, known, cusip, put/call); its sums by CUSIP and by put/call then give
     # every counter and the inventory, without reading the holdings again.
-    empty = (F.coalesce("value", F.lit(0.0)) == 0) & (F.coalesce("sharesAmount", F.lit(0.0)) == 0)
-    base = matched.groupBy(
-        "window", c("_filed").isNotNull().alias("known"), "cusip", F.coalesce("putCall", F.lit("NULL")).alias("pc")
-    ).agg(
+    base = matched.groupBy("window", c("_filed").isNotNull().alias("known"), "cusip", "pc").agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_if(F.coalesce("issuerName", F.lit("")) == "").alias("null_issuer"),
-        F.count_if(empty).alias("zero"),
-        F.count_if(F.coalesce("figi", F.lit("")) != "").alias("figi"),
+        *[F.count_if(F.bit_get("_marks", F.lit(n)) == 1).alias(name) for n, name in enumerate(marks)],
     )
     sums = base.groupingSets(
         [["window", "known", "cusip"], ["window", "known", "pc"]], "window", "known", "cusip", "pc"
@@ -143,8 +172,7 @@ def holdings_integrity(filings: DataFrame, holdings: DataFrame, order: Column |
         ).alias("putCall"),
     )
     # All rows of a key are known or none is, so orphans may be left out after the few repeats are found.
-    repeats = repeated_keys(holdings, order).join(filed, ["window", "accession"], "left_semi")
-    duplicates = _first(repeats, ["window"], "entry", "_ord", "duplicateHoldingKeys")
+    duplicates = _first(repeated_keys(holdings, order, filed), ["window"], "entry", "_ord", "duplicateHoldingKeys")
 
     notice = (
         filings.filter(c("submissionType").startswith(NOTICE))
