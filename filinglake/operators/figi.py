@@ -31,21 +31,25 @@ def share_class(venues: DataFrame) -> DataFrame:
     )
     ticker = F.upper(text.text(c("ticker")))
     is_us = F.coalesce(c("exchCode") == "US", F.lit(False))
-    us_symbol = F.when(c("ticker").isNotNull(), F.upper(text.trimmed(c("ticker"))))
+    # The first US row, else the first row: one row speaks, so its order and its cells travel once.
     speaker = F.struct(
-        F.coalesce("securityType", "securityType2").alias("securityType"), "marketSector", "name"
+        (~is_us).alias("foreign"),
+        "ord",
+        F.when(is_us & c("ticker").isNotNull(), F.upper(text.trimmed(c("ticker")))).alias("usTicker"),
+        F.coalesce("securityType", "securityType2").alias("securityType"),
+        "marketSector",
+        "name",
     )
     rest = venues.groupBy("cusip").agg(
-        F.min_by(F.struct(us_symbol.alias("t")), F.when(is_us, c("ord"))).alias("us"),
         # The distinct symbols of one security: the column's meaning, combined map-side.
         F.array_sort(F.collect_set(ticker)).alias("tickers"),
-        F.min_by(speaker, F.struct(~is_us, c("ord"))).alias("speaker"),
+        F.min(speaker).alias("speaker"),
         F.count(F.lit(1)).alias("venueRows"),
     )
     return rest.join(by_figi, "cusip", "left").select(
         "cusip",
         "shareClassFigi",
-        c("us.t").alias("usTicker"),
+        "speaker.usTicker",
         "tickers",
         "speaker.securityType",
         "speaker.marketSector",
