@@ -154,24 +154,26 @@ def holdings_13f(info: DataFrame, submission: DataFrame, keep: Sequence[str] = (
 def _submission_facts(submission: DataFrame) -> DataFrame:
     """What transactions and owners take from the last submission of their accession."""
     c = F.col
+    cells = ["DOCUMENT_TYPE", "FILING_DATE", "ISSUERCIK", "ISSUERNAME", "ISSUERTRADINGSYMBOL", "PERIOD_OF_REPORT", "DATE_OF_ORIG_SUB", "AFF10B5ONE"]
+    # Cells are read after the last row is known: once an accession, and only those somebody asks for.
+    last = last_per_key(_keyed(submission).select(*KEY, *cells, "ord"), KEY, "ord")
     period, original = dates.sec_date(c("PERIOD_OF_REPORT")), dates.sec_date(c("DATE_OF_ORIG_SUB"))
-    facts = _keyed(submission).select(
+    placed = c("ord").isNotNull()
+    return last.select(
         *KEY,
         text.present(c("DOCUMENT_TYPE")).alias("form_type"),
         dates.sec_date(c("FILING_DATE")).alias("filing_day"),
         text.present(c("ISSUERCIK")).alias("issuer_cik"),
         text.present(c("ISSUERNAME")).alias("issuer_name"),
         text.present(c("ISSUERTRADINGSYMBOL")).alias("issuer_symbol"),
-        securities.issuer_ticker(c("ISSUERTRADINGSYMBOL")).alias("resolved_symbol"),
+        F.when(placed, securities.issuer_ticker(c("ISSUERTRADINGSYMBOL"))).alias("resolved_symbol"),
         period.alias("period_day"),
         dates.sec_date_broken(c("PERIOD_OF_REPORT"), period).alias("period_broken"),
         original.alias("original_day"),
         dates.sec_date_broken(c("DATE_OF_ORIG_SUB"), original).alias("original_broken"),
         text.flag(c("AFF10B5ONE")).alias("aff10b5one"),
-        F.lit(True).alias("known"),
-        "ord",
+        F.when(placed, F.lit(True)).alias("known"),
     )
-    return last_per_key(facts, KEY, "ord").drop("ord")
 
 
 def _fact_columns() -> dict[str, Column]:
