@@ -95,7 +95,8 @@ def crosswalk_stats(holdings: DataFrame, identifiers: DataFrame) -> DataFrame:
     marks = identifiers.agg(
         F.count(F.lit(1)).alias("identifierRows"), F.count_if("malformed").alias("_bad_identifiers")
     )
-    named = folded.agg(F.count("ticker").alias("holdingsWithTicker"))
+    # A fold without an ISIN has a ticker. Both columns are asked for, as by the join, so that one fold serves the two.
+    named = folded.agg(F.count_if(c("ticker").isNotNull() | c("isin").isNull()).alias("holdingsWithTicker"))
     return (
         side_by_side(lines, marks, named, judged)
         .select(
