@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from filinglake.functions.text import SPACE_CLASS, trimmed
 from filinglake.operators.checks import Checked, split_broken
+from filinglake.sources.tsv import BROADCAST_FILES
 
 # Insider form types, the width of the form column, the separator, and the
 # shape of the rest of a line, read from its right-hand columns.
@@ -21,26 +22,34 @@ MARK = "\x01"
 PARTS = f"$1{MARK}$2{MARK}$3-$4-$5{MARK}$6"
 
 
+def _of_files(found: DataFrame) -> DataFrame:
+    """What was found in each file, one row a file, found once and sent to all tasks if the files are few enough."""
+    rows = found.limit(BROADCAST_FILES + 1).collect()
+    return F.broadcast(found.sparkSession.createDataFrame(rows, found.schema)) if len(rows) <= BROADCAST_FILES else found
+
+
 def read_index(lines: DataFrame) -> Checked:
     """Entries below the dashed separator of every file in `lines` (archive_key, ord, line).
 
     Rejects hold lines of another shape and files without a separator.
     """
     c = F.col
-    # One row per file.
-    separators = lines.groupBy("archive_key").agg(
-        F.min(F.when(c("line").rlike(SEPARATOR), c("ord"))).alias("_at")
-    )
+    dashed = c("line").startswith("-" * 20) & c("line").rlike(SEPARATOR)
+    separators = _of_files(lines.groupBy("archive_key").agg(F.min(F.when(dashed, c("ord"))).alias("_at")))
+    # A line and its two halves leave a generator: filters on them are not pushed below, where each of their terms
+    # would make or cut the line again.
+    cut = F.struct("line", F.substring("line", 1, FORM_WIDTH), F.expr(f"substring(line, {FORM_WIDTH + 1})"))
+    halves = lines.select("archive_key", "ord", F.inline(F.array(cut)).alias("line", "_left", "_right"))
     body = (
-        lines.join(separators.filter(c("_at").isNotNull()), "archive_key")
+        halves.join(separators.filter(c("_at").isNotNull()), "archive_key")
         .filter((c("ord") > c("_at")) & (trimmed(c("line")) != ""))
         .select(
             "archive_key",
             "ord",
             "line",
-            trimmed(F.substring("line", 1, FORM_WIDTH)).alias("form"),
+            trimmed(c("_left")).alias("form"),
             # One match per line; its parts come back in one text.
-            F.regexp_replace(F.expr(f"substring(line, {FORM_WIDTH + 1})"), REST, PARTS).alias("_parts"),
+            F.regexp_replace("_right", REST, PARTS).alias("_parts"),
         )
         .select("*", F.split("_parts", MARK).alias("_part"))
     )
