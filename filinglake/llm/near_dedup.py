@@ -41,6 +41,8 @@ CELL_TEXTS, CELL_SHINGLES = 2048, 1 << 20
 TILE, COLUMNS = 512, 4096
 BATCH_PAIRS = 4096
 _CHUNK = 1 << 14
+# Tasks that sum the sketch; each sends four of its parts to the driver, about half a MB.
+_SUMS = DEPTH * CELLS // _CHUNK // 4
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -79,7 +81,7 @@ class Frequencies:
 
 
 def frequencies(texts: DataFrame) -> Frequencies:
-    """Count every shingle of every text once: a sketch per task, summed part by part, 8 MB to the driver."""
+    """Count every shingle of every text once: a sketch per task, summed part by part, 8 MB to the driver, about half a MB at once."""
 
     def count(batches):
         counts, n = np.zeros((DEPTH, CELLS), np.int64), 0
@@ -105,7 +107,7 @@ def frequencies(texts: DataFrame) -> Frequencies:
             yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int32()), "n": pa.array([n], pa.int64()), "part": pa.array([part.tobytes()], pa.binary())})
 
     shape = "chunk INT, n LONG, part BINARY"
-    summed = texts.select("text").mapInArrow(count, shape).repartition("chunk").mapInArrow(add, shape)
+    summed = texts.select("text").mapInArrow(count, shape).repartition(_SUMS, "chunk").mapInArrow(add, shape)
     counts, n = np.zeros(DEPTH * CELLS, np.int64), 0
     for row in summed.toLocalIterator():
         counts[row.chunk * _CHUNK : (row.chunk + 1) * _CHUNK] = np.frombuffer(row.part, np.int64)
@@ -413,13 +415,12 @@ def _within_parts(own: DataFrame, crowded: DataFrame) -> DataFrame:
     return common.land(dealt.mapInArrow(_parted, "a BINARY, b BINARY").distinct(), "near-pairs")
 
 
-def _across_classes(own: DataFrame, crowded: DataFrame, rooted: DataFrame, weighted: DataFrame, sent, threshold: float) -> DataFrame:
-    """Links (a, b) between texts of a group in different classes, enough to join all that belong together.
+def _across_classes(held: DataFrame, weighted: DataFrame, sent, threshold: float) -> DataFrame:
+    """Links (a, b) between texts of a group in different classes, enough to join all that belong together, from `_mixed`.
 
     A group is dealt to cells, the texts of its largest class apart from the others, and every cell of the
     others meets every cell, each two in a block of their own. Small groups are one cell.
     """
-    held = _mixed(crowded, rooted).join(own.select("digest", "shingles"), "digest")
     by_class = held.groupBy("key", "root").agg(F.count(F.lit(1)).alias("texts"), F.sum("shingles").alias("shingles"))
     total = lambda name: (F.sum(name) - F.max(F.struct("texts", "shingles", "root"))[name]).alias(name)
     groups = by_class.groupBy("key").agg(
@@ -451,10 +452,10 @@ def _across_classes(own: DataFrame, crowded: DataFrame, rooted: DataFrame, weigh
 
 
 def _mixed(crowded: DataFrame, rooted: DataFrame) -> DataFrame:
-    """(key, digest, root) of the groups that hold more than one class."""
+    """(key, digest, root, shingles) of the groups that hold more than one class."""
     held = crowded.join(rooted, "digest")
     several = held.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    return held.join(several.select("key"), "key", "left_semi").select("key", "digest", "root")
+    return common.land(held.join(several.select("key"), "key", "left_semi").select("key", "digest", "root", "shingles"), "near-mixed")
 
 
 def _texts_of(texts: DataFrame, distinct: DataFrame, digests: DataFrame) -> DataFrame:
@@ -486,9 +487,9 @@ def _checked(texts: DataFrame, distinct: DataFrame, pairs: DataFrame, sent) -> D
 
 
 def _rooted(distinct: DataFrame, edges: DataFrame) -> DataFrame:
-    """(digest, exact_id, root) of every text, by the classes that the edges make."""
+    """(digest, exact_id, shingles, root) of every text, by the classes that the edges make."""
     roots = common.components(edges, "near").withColumnRenamed("node", "digest")
-    rooted = distinct.select("digest", "exact_id").join(roots, "digest", "left")
+    rooted = distinct.select("digest", "exact_id", "shingles").join(roots, "digest", "left")
     return common.land(rooted.withColumn("root", F.coalesce("root", "digest")), "near-rooted")
 
 
@@ -520,16 +521,17 @@ def classes(documents: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFr
     common.discard(pairs)
     edges = links.where(F.col("similarity") >= threshold).select("a", "b")
     rooted = _rooted(distinct, edges)
-    mixed = _mixed(crowded, rooted.select("digest", "root")).select("digest").distinct()
+    mixed = _mixed(crowded, rooted.select("digest", "root", "shingles"))
+    common.discard(crowded)
     weighted = common.land(
-        _texts_of(texts, distinct, mixed).mapInArrow(_weighted, "digest BINARY, hashes BINARY, times BINARY"), "near-weighted"
+        _texts_of(texts, distinct, mixed.select("digest").distinct()).mapInArrow(_weighted, "digest BINARY, hashes BINARY, times BINARY"), "near-weighted"
     )
-    across = _across_classes(own, crowded, rooted.select("digest", "root"), weighted, sent, threshold)
+    across = _across_classes(mixed, weighted, sent, threshold)
     if not across.isEmpty():
         edges = edges.union(across)
         before, rooted = rooted, _rejoined(rooted, across)
         common.discard(before)
-    common.discard(crowded, weighted)
+    common.discard(mixed, weighted)
     sent.destroy()
     named = rooted.groupBy("root").agg(F.min("exact_id").alias("class_id"))
     by_text = common.land(rooted.join(named, "root").select("digest", "exact_id", "class_id"), "near-classes")
