@@ -23,13 +23,14 @@ def _one_per_key(df: DataFrame, keys: Sequence[str], least: bool, order: Column
         return df.groupBy(*keys).agg(*[one.alias(name) for name, one in more.items()]) if more else df.distinct()
     # The order leads the row it places and is sent once; a row without order is never picked.
     by = as_column(order)
-    held = [name for name in rest if name != order]
+    placed = order if isinstance(order, str) else None  # a made order is none of the columns
+    held = [name for name in rest if name != placed]
     entry = F.struct(by.alias("_by"), F.struct(*held).alias("_rest")) if held else F.struct(by.alias("_by"))
     if any("map<" in df.schema[name].dataType.simpleString() for name in held):  # maps have no order
         picked = (F.min_by if least else F.max_by)(entry, by)
     else:
         picked = (F.min if least else F.max)(F.when(by.isNotNull(), entry))
-    cells = {name: F.col("_row._by") if name == order else F.col("_row._rest")[name] for name in rest}
+    cells = {name: F.col("_row._by") if name == placed else F.col("_row._rest")[name] for name in rest}
     return (
         df.groupBy(*keys)
         .agg(picked.alias("_row"), *[one.alias(name) for name, one in more.items()])
