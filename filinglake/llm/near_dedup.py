@@ -3,9 +3,10 @@
 A text is a weighted set of five-word shingles: times in the text x ln(1 + texts / texts with it). The
 counts of all shingles of the corpus live in a count sketch of fixed size (DEPTH x CELLS), summed from
 every document. It resolves shingles in more than about (mean shingles per text / CELLS) of all
-texts, the same share at any size, and gives rarer ones nearly the same, highest weight; equal
-shingles weigh the same everywhere, so weighted Jaccard similarity is well defined and is what
-candidates are verified by.
+texts, the same share at any size. All shingles in less than RARE of all texts have the same, highest weight:
+what the copies of a group share is no boilerplate, and must not weigh less than the words in which they differ, the less
+the larger the group and the corpus. Equal shingles weigh the same everywhere, so weighted Jaccard similarity is
+well defined and is what candidates are verified by.
 
 Candidates share all ROWS samples of one of BANDS bands. Such a group is cut into parts of about PART
 texts, and a part yields a spanning forest by the agreement of all samples: at most one link a text, and a
@@ -33,6 +34,8 @@ from filinglake.llm import common
 SIMILARITY = 0.8
 BANDS, ROWS = 12, 3
 DEPTH, CELLS = 2, 1 << 19
+# Share of all texts up to which a shingle counts as rare, however many copies hold it.
+RARE = 0.01
 # Texts of a part of a group, and the share of equal samples that makes a link of its forest worth verifying.
 PART, AGREEMENT = 512, 20 / (BANDS * ROWS)
 # About so many texts and different shingles of texts go to a cell; a group has as many cells as it needs.
@@ -71,13 +74,13 @@ class Frequencies:
     counts: np.ndarray
 
     def weights(self, hashes: np.ndarray, times: np.ndarray) -> np.ndarray:
-        """times x ln(1 + texts / texts with the shingle), the mean load of a cell taken off its count."""
+        """times x ln(1 + texts / texts with the shingle, or RARE of the texts), the mean load of a cell taken off its count."""
         total = self.counts[0].sum()
         found = np.full(len(hashes), np.inf)
         for row in range(DEPTH):
             held = self.counts[row][_cells(hashes, row)]
             found = np.minimum(found, held - (total - held) / (CELLS - 1))
-        return times * np.log1p(self.texts / np.maximum(found, 1.0))
+        return times * np.log1p(self.texts / np.maximum(found, max(1.0, RARE * self.texts)))
 
 
 def frequencies(texts: DataFrame) -> Frequencies:
